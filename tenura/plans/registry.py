@@ -38,7 +38,9 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from tenura.plans import (  # noqa: F401
         audit_queries,
+        feature_queries,
         metric_queries,
         prep_queries,
         quality_queries,
+        sampling_queries,
     )

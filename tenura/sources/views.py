@@ -128,6 +128,27 @@ VIEWS: dict[str, str] = {
                     ELSE ' ' || o_orderpriority || ', ' || o_orderstatus || ' ,, P' ||
                          CAST(o_custkey % 40 AS STRING) END AS tags
         FROM {orders}""",
+    # Text, list and number columns with gaps for the encoders.
+    "encodable": """
+        SELECT o_orderkey AS id,
+               CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS priority,
+               CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS sex,
+               CASE WHEN o_orderkey % 17 = 0 THEN NULL
+                    ELSE 'S' || CAST(o_custkey % 45 AS STRING) END AS site,
+               CASE WHEN o_orderkey % 10 = 0 THEN NULL
+                    ELSE ' ' || o_orderpriority || ', ' || o_orderstatus || ' ,, P' ||
+                         CAST(o_custkey % 40 AS STRING) END AS tags,
+               CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS amount,
+               CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey % 100 END AS weight
+        FROM {orders}""",
+    # Employee records with a target that follows overtime, satisfaction and seniority.
+    "attrition": """
+        SELECT *, CASE WHEN (c_custkey * 7919) % 1000 <
+                       40 + CASE WHEN heure_supplementaires = 'Yes' THEN 250 ELSE 0 END
+                       + CASE WHEN satisfaction_employee_environnement = '1' THEN 200 ELSE 0 END
+                       + CASE WHEN annees_dans_le_poste_actuel IN ('0', '5') THEN 200 ELSE 0 END
+                       THEN 'Oui' ELSE 'Non' END AS a_quitte_l_entreprise
+        FROM {employees_raw}""",
 }
 
 _NAME = re.compile(r"(?<!\{)\{([a-z_]+)\}(?!\})")
