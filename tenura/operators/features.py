@@ -37,11 +37,18 @@ def top_values(df: DataFrame, columns: Sequence[str], n: int) -> dict[str, tuple
     counts = cell_counts(df, list(columns)).where(F.col("value").isNotNull())
     order = Window.partitionBy("column").orderBy(F.desc("cnt"), "value")
     best = counts.withColumn("pos", F.row_number().over(order)).where(F.col("pos") <= n)
-    sizes = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count("*").alias("n")).collect()}
-    found: dict[str, list[tuple[int, str]]] = {}
-    for row in best.select("column", "pos", "value").collect():
-        found.setdefault(row["column"], []).append((row["pos"], row["value"]))
-    return {c: ([v for _, v in sorted(found.get(c, []))], sizes.get(c, 0)) for c in columns}
+    sizes = counts.groupBy("column").agg(F.count("*").alias("n"))
+    both = best.select("column", "pos", "value", F.lit(None).cast("long").alias("n")).unionByName(
+        sizes.select("column", F.lit(0).alias("pos"), F.lit(None).cast("string").alias("value"), "n")
+    )
+    found: dict[str, list] = {c: [] for c in columns}
+    number = dict.fromkeys(columns, 0)
+    for row in sorted(both.collect(), key=lambda r: r["pos"]):
+        if row["pos"]:
+            found[row["column"]].append(row["value"])
+        else:
+            number[row["column"]] = row["n"]
+    return {c: (found[c], number[c]) for c in columns}
 
 
 def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
@@ -68,8 +75,7 @@ def fit_levels(
         levels = sorted(best[: max_categories - 1] if crowded else best)
         if drop_binary and size == 2:
             levels = levels[1:]
-        plans.append({"column": column, "mode": best[0], "levels": levels, "infrequent": crowded,
-                      "all_levels": sorted(best) if not crowded else levels})
+        plans.append({"column": column, "mode": best[0], "levels": levels, "infrequent": crowded})
     return plans
 
 

@@ -40,6 +40,7 @@ def load_all() -> None:
         audit_queries,
         feature_queries,
         metric_queries,
+        model_queries,
         prep_queries,
         quality_queries,
         sampling_queries,
