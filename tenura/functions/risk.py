@@ -23,14 +23,6 @@ def risk_level(pct: Column) -> Column:
     )
 
 
-def impact_label(value: Column) -> Column:
-    return (
-        F.when(value > 0, "increases risk")
-        .when(value < 0, "decreases risk")
-        .otherwise("neutral")
-    )
-
-
 def decision_columns(prob: Column) -> dict[str, Column]:
     """All output columns derived from the probability of leaving (a fraction 0-1)."""
     return {

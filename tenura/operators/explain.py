@@ -20,7 +20,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.functions.risk import impact_label
 from tenura.session import fresh_path
 
 TOP = 5
@@ -145,42 +144,54 @@ def contributions(rows: np.ndarray, tables: list[PathTable]) -> np.ndarray:
     return phi
 
 
-def shapley_values(
-    df: DataFrame, model: GBTClassificationModel, keys: Sequence[str], features: str = "features"
-) -> DataFrame:
-    """Keys with ``phi`` (one value per feature, in log-odds) and ``base``.
+def _over_rows(df: DataFrame, model: GBTClassificationModel, keys: Sequence[str], features: str, shape, schema: str):
+    """Run ``shape(contributions, base)`` over batches of rows; the rows stay where they are.
 
-    The paths, no larger than the model, go to the tasks; the rows stay where they are.
+    The paths, no larger than the model, go to the tasks.
     """
     spark = df.sparkSession
     tables, base = leaf_paths(tree_nodes(spark, model), model.treeWeights)
-    shared = spark.sparkContext.broadcast(tables)
+    shared = spark.sparkContext.broadcast([(t.feature, t.low, t.high, t.share, t.value) for t in tables])
     keys = list(keys)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        paths = [PathTable(*arrays) for arrays in shared.value]
         for batch in batches:
             if len(batch):
-                phi = _LOG_ODDS * contributions(np.stack(batch["_x"].to_numpy()), shared.value)
-                yield batch[keys].assign(phi=list(phi), base=_LOG_ODDS * base)
+                phi = _LOG_ODDS * contributions(np.stack(batch["_x"].to_numpy()), paths)
+                yield batch[keys].assign(**shape(phi, _LOG_ODDS * base))
 
     rows = df.select(*keys, vector_to_array(features).alias("_x"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keys)
-    return rows.mapInPandas(explain, f"{fields}, phi array<double>, base double")
+    return rows.mapInPandas(explain, f"{fields}, {schema}")
 
 
-def top_features(df: DataFrame, names: Sequence[str], n: int = TOP) -> DataFrame:
-    """Replace ``phi`` by ``top_features``: the n largest by size, ties in feature order."""
-    entries = F.transform(
-        "phi",
-        lambda v, i: F.struct((-F.abs(v)).alias("size"), i.alias("at"), v.alias("value")),
-    )
-    labels = F.array(*map(F.lit, names))
-    best = F.transform(
-        F.slice(F.array_sort(entries), 1, n),
-        lambda e: F.struct(
-            F.get(labels, e["at"]).alias("feature"),
-            F.round(e["value"], 4).alias("shap_value"),
-            impact_label(e["value"]).alias("impact"),
-        ),
-    )
-    return df.withColumn("top_features", best).drop("phi")
+def shapley_values(
+    df: DataFrame, model: GBTClassificationModel, keys: Sequence[str], features: str = "features"
+) -> DataFrame:
+    """Keys with ``phi`` (one value per feature, in log-odds) and ``base``."""
+    shape = lambda phi, base: {"phi": list(phi), "base": base}
+    return _over_rows(df, model, keys, features, shape, "phi array<double>, base double")
+
+
+def impact(value: float) -> str:
+    return "increases risk" if value > 0 else "decreases risk" if value < 0 else "neutral"
+
+
+def top_features(
+    df: DataFrame, model: GBTClassificationModel, names: Sequence[str], keys: Sequence[str], n: int = TOP,
+    features: str = "features",
+) -> DataFrame:
+    """Keys with ``top_features``: the n contributions largest in size, ties in feature order."""
+    names = list(names)
+
+    def shape(phi: np.ndarray, base: float) -> dict:
+        order = np.argsort(-np.abs(phi), axis=1, kind="stable")[:, :n]
+        best = [
+            [{"feature": names[i], "shap_value": round(float(row[i]), 4), "impact": impact(row[i])} for i in places]
+            for row, places in zip(phi, order)
+        ]
+        return {"top_features": best, "base": base}
+
+    kind = "top_features array<struct<feature string, shap_value double, impact string>>, base double"
+    return _over_rows(df, model, keys, features, shape, kind)

@@ -123,8 +123,14 @@ def record_rules(with_id: bool = True) -> list[Rule]:
 
 
 def validate(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Add ``errors`` and ``is_valid``; no row is dropped."""
-    checked = df.withColumn("errors", broken_rules(record_rules() if rules is None else rules))
+    """Add ``errors`` and ``is_valid``; no row is dropped.
+
+    The errors come out of a one-element generator: they are computed once per row, and a filter
+    on them stays a short condition instead of the whole rule list, which the optimizer would
+    otherwise carry through every later projection.
+    """
+    broken = broken_rules(record_rules() if rules is None else rules)
+    checked = df.select("*", F.inline(F.array(F.struct(broken.alias("errors")))))
     return checked.withColumn("is_valid", F.size("errors") == 0)
 
 

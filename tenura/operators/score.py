@@ -12,7 +12,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from tenura.functions.risk import decision_columns
-from tenura.operators.explain import shapley_values, top_features
+from tenura.operators.explain import top_features
 from tenura.operators.prep import require_columns
 from tenura.sources.audit_log import iso_utc
 from tenura.sources.files import read_metadata
@@ -62,8 +62,7 @@ class AttritionModel:
         """The five strongest contributions to each row's score."""
         inputs = require_columns(df, self.encoder.input_columns(), keys)
         encoded = self.encoder.transform(inputs)
-        values = shapley_values(encoded, self.pipeline.stages[-1], keys)
-        return top_features(values, self.encoder.feature_names())
+        return top_features(encoded, self.pipeline.stages[-1], self.encoder.feature_names(), keys)
 
     def response(self, scored: DataFrame, elapsed_ms: int | None = None) -> DataFrame:
         """Scored rows with version, time and number of rows, as sent to a caller."""

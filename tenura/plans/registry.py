@@ -44,4 +44,5 @@ def load_all() -> None:
         prep_queries,
         quality_queries,
         sampling_queries,
+        stream_queries,
     )
