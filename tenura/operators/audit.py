@@ -150,7 +150,8 @@ def latency_percentiles(requests: DataFrame, as_of: Column | datetime, days: int
     cuts = grouped_percentiles(
         recent, ["endpoint"], "response_time_ms", {"median_response_ms": 0.5, "p95_response_ms": 0.95}
     )
-    return means.join(cuts, "endpoint", "left")
+    renamed = cuts.withColumnRenamed("endpoint", "_endpoint")
+    return means.join(renamed, means["endpoint"].eqNullSafe(renamed["_endpoint"]), "left").drop("_endpoint")
 
 
 def model_version_usage(predictions: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tenura.operators.prep import keep_present, split_feature_types
 from tenura.operators.ranking import bucket_of, running_totals, value_cuts
+from tenura.session import materialise
 
 PAIRS_PER_PASS = 64
 SCHEMA = "col_i string, col_j string, abs_corr double"
@@ -49,9 +50,10 @@ def _union(df: DataFrame, parts: list[DataFrame]) -> DataFrame:
 
 
 def _counted_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Distinct value pairs with their number; all later work is on these."""
+    """Distinct value pairs with their number, written once; all later work is on these."""
     x, y = F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
-    return df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(x, y).agg(F.count("*").alias("w"))
+    known = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    return materialise(known.groupBy(x, y).agg(F.count("*").alias("w")), "value-pairs")
 
 
 def _average_ranks(pairs: DataFrame, side: str) -> DataFrame:

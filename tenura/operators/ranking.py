@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions.hashing import hash_text
+from tenura.session import materialise
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS, MAX_BUCKETS = 8, 4_000
@@ -71,18 +72,20 @@ def _with_offsets(
     """Add ``before_<name>``, the total of the group's earlier buckets, and ``all_<name>``.
 
     The join and the window that follows it share their keys, so the rows are shuffled once.
+    Groups are compared as a struct ``_g``, in which a null equals a null.
     """
-    totals = df.groupBy(*groups, *buckets).agg(*[e.alias(f"t_{n}") for n, e in sums.items()])
+    df = df.withColumn("_g", F.struct(*groups) if groups else F.struct(F.lit(0).alias("all")))
+    keys = ["_g", *buckets]
+    totals = df.groupBy(*keys).agg(*[e.alias(f"t_{n}") for n, e in sums.items()])
     order = [F.desc(buckets[0]) if descending else F.asc(buckets[0]), *map(F.asc, buckets[1:])]
-    group = Window.partitionBy(*groups)
+    group = Window.partitionBy("_g")
     earlier = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *groups,
-        *buckets,
+        *keys,
         *[F.coalesce(F.sum(f"t_{n}").over(earlier), F.lit(0)).alias(f"before_{n}") for n in sums],
         *[F.sum(f"t_{n}").over(group).alias(f"all_{n}") for n in sums],
     )
-    return df.join(offsets, [*groups, *buckets])
+    return df.join(offsets, keys)
 
 
 def running_totals(
@@ -91,19 +94,19 @@ def running_totals(
     measures: Sequence[str],
     groups: Sequence[str] = (),
     descending: bool = False,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Inclusive running totals ``cum_<measure>`` over distinct values, and ``all_<measure>``.
 
-    ``df`` has one row per (group, value), so no bucket can be filled by one value.
+    ``df`` has one row per (group, value), so no bucket can be filled by one value.  It is
+    written once, because it is an aggregate and several passes read it.
     """
     groups = list(groups)
-    n_rows = df.count() if n_rows is None else n_rows
-    starts, _ = value_cuts(df, value, n_rows)
+    df = materialise(df, "per-value")
+    starts, _ = value_cuts(df, value, df.count())
     bucketed = df.withColumn("_b", bucket_of(F.col(value).cast("double"), starts))
     placed = _with_offsets(bucketed, groups, ["_b"], {m: F.sum(m) for m in measures}, descending)
     order = F.desc(value) if descending else F.asc(value)
-    upto = Window.partitionBy(*groups, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("_g", "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return placed.select(
         *df.columns,
         *[(F.sum(m).over(upto) + F.col(f"before_{m}")).alias(f"cum_{m}") for m in measures],
@@ -120,7 +123,7 @@ def rank_by_hash(
     hashed = df.withColumn("_h", hash_text(F.col(key), seed))
     bucketed = hashed.withColumn("_b", F.substring("_h", 1, hash_digits(n_rows)))
     placed = _with_offsets(bucketed, groups, ["_b"], {"n": F.count("*")})
-    inside = Window.partitionBy(*groups, "_b").orderBy("_h", key)
+    inside = Window.partitionBy("_g", "_b").orderBy("_h", key)
     return placed.select(*df.columns, (F.row_number().over(inside) + F.col("before_n")).alias(out))
 
 
@@ -136,16 +139,17 @@ def rank_by_value(
     groups = list(groups)
     n_rows = df.count()
     starts, heavy = value_cuts(df, value, n_rows)
-    bucketed = df.withColumn("_h", hash_text(F.col(key), TIE_SEED)).withColumn(
-        "_b", bucket_of(F.col(value).cast("double"), starts)
-    )
+    number = F.col(value).cast("double")
+    # Nulls have a bucket of their own below all others.
+    tied = F.col(value).isNull()
     if heavy:
-        tied = F.col(value).isin(sorted(heavy))
-        part = F.when(tied, F.substring("_h", 1, hash_digits(n_rows))).otherwise("")
-    else:
-        part = F.lit("")
-    bucketed = bucketed.withColumn("_s", part)
+        tied = tied | F.col(value).isin(sorted(heavy))
+    bucketed = (
+        df.withColumn("_h", hash_text(F.col(key), TIE_SEED))
+        .withColumn("_b", F.when(number.isNull(), -1).otherwise(bucket_of(number, starts)))
+        .withColumn("_s", F.when(tied, F.substring("_h", 1, hash_digits(n_rows))).otherwise(""))
+    )
     placed = _with_offsets(bucketed, groups, ["_b", "_s"], {"n": F.count("*")}, descending)
     order = F.desc(value) if descending else F.asc(value)
-    inside = Window.partitionBy(*groups, "_b", "_s").orderBy(order, "_h", key)
+    inside = Window.partitionBy("_g", "_b", "_s").orderBy(order, "_h", key)
     return placed.select(*df.columns, (F.row_number().over(inside) + F.col("before_n")).alias(out))

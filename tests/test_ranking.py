@@ -85,6 +85,20 @@ def test_percentiles(skewed):
         assert [row.p5, row.p50, row.p95] == pytest.approx(list(part.quantile([0.05, 0.5, 0.95])))
 
 
+def test_null_groups_and_values_stay(spark):
+    rows = [("a", i, float(i % 3)) for i in range(9)] + [(None, 9 + i, None) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, id long, v double")
+    for descending in (True, False):
+        got = ranking.rank_by_value(df, "v", "id", descending=descending).toPandas().sort_values("rank")
+        assert list(got["rank"]) == list(range(1, 15))
+        values = [None if pd.isna(v) else v for v in got["v"]]
+        assert values == ([2.0] * 3 + [1.0] * 3 + [0.0] * 3 + [None] * 5 if descending
+                          else [None] * 5 + [0.0] * 3 + [1.0] * 3 + [2.0] * 3)
+    assert ranking.rank_by_hash(df, "id", 1, ["g"]).count() == 14
+    medians = percentiles.grouped_percentiles(df.fillna(7.0), ["g"], "v", {"m": 0.5}).collect()
+    assert {r["g"]: r["m"] for r in medians} == {"a": 1.0, None: 7.0}
+
+
 def test_median_of_one_row_and_of_none(spark):
     df = spark.createDataFrame([(1.5, None), (None, None)], "a double, b double")
     assert [tuple(r) for r in percentiles.column_medians(df, ["a", "b"]).collect()] == [("a", 1.5)]
