@@ -1,7 +1,7 @@
 """Analytics over the request and prediction log.
 
-Look-back windows take an ``as_of`` moment, never the wall clock; it may be a literal or a
-one-row subquery column such as :func:`latest`.
+Look-back windows take an ``as_of`` moment, never the wall clock: a datetime, or a constant
+column such as :func:`latest`.
 """
 
 from __future__ import annotations
@@ -16,8 +16,13 @@ from tenura.operators.percentiles import grouped_percentiles
 
 
 def latest(df: DataFrame, column: str = "created_at") -> Column:
-    """Newest moment in a log, as a one-row subquery."""
-    return df.agg(F.max(column)).scalar()
+    """Newest moment in a log, as a constant.
+
+    One small job finds it; as a constant, unlike as a subquery, it lets look-back filters reach
+    the file statistics and partitions of the scan.
+    """
+    text = df.agg(F.max(column).cast("string")).first()[0]
+    return F.lit(text).cast(df.schema[column].dataType)
 
 
 def day_of(moment: Column | datetime) -> Column:

@@ -98,6 +98,12 @@ def test_no_cross_join(spark, folder, name):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_look_back_reaches_the_file_statistics(spark, folder):
+    predictions = view(spark, folder, "predictions")
+    plan = _plan(audit.daily_volume(predictions, audit.latest(predictions)))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", plan)
+
+
 def test_log_round_trip_by_day(spark, folder):
     path = fresh_path(spark, "log")
     from tenura.sources.audit_log import append_log, request_rows
