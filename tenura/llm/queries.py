@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import decontaminate, sharding, topk
+from tenura.llm import decontaminate, packing, sharding, token_counts, token_output, topk
 from tenura.llm.common import table
+from tenura.session import fresh_path
+
+BYTE_BPE = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +49,19 @@ def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(topk.quantise(table(spark, folder, "embeddings")), "vec_id % 50 = 0", 5)
 
 
+@query("op2_token_output")
+def op2_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    token_output.write_tokens(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE), path)
+    back = token_output.read_tokens(spark, path)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 @query(
     "op4_decontaminate",
     r"""
@@ -82,3 +99,9 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_shard")
 def op7_shard(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), sharding.tree(16), sharding.tree(17))
+
+
+@query("op10_pack")
+def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
