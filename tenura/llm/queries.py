@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import decontaminate, packing, sharding, token_counts, token_output, topk
+from tenura.llm import decontaminate, dedup, packing, sharding, token_counts, token_output, topk
 from tenura.llm.common import table
 from tenura.session import fresh_path
 
@@ -101,6 +101,35 @@ def op7_shard(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), sharding.tree(16), sharding.tree(17))
 
 
+@query(
+    "op9_near_duplicates",
+    r"""
+    WITH RECURSIVE docs AS (
+      SELECT doc_id, row_number() OVER () AS r,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x20\x09-\x0D]+') AS w FROM documents),
+    shingles AS (
+      SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM docs)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+      FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (
+      SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+      WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+    reach AS (
+      SELECT doc_id AS a, doc_id AS b FROM documents
+      UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+    FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN least l ON l.a = d.doc_id
+    """,
+)
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup.near_duplicates(table(spark, folder, "documents")).drop("row")
+
+
 @query("op10_pack")
 def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
