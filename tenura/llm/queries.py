@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import decontaminate, dedup, packing, sharding, token_counts, token_output, topk
+from tenura.llm import decontaminate, dedup, language, packing, pii, quality, sharding, token_counts, token_output, topk
 from tenura.llm.common import table
 from tenura.session import fresh_path
 
 BYTE_BPE = "byte_bpe_50k.json"
+#: Session setting with the secret key of the pseudonyms; without it a public one is used.
+KEY_SETTING = "tenura.pii.key"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,11 +98,30 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("hits", "longest")
 
 
+def pii_key(spark: SparkSession) -> bytes:
+    return spark.conf.get(KEY_SETTING, "a public key, for trials alone").encode()
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_and_replace(table(spark, folder, "documents"), pii_key(spark))
+
+
+@query("op6_language")
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 @query("op7_shard")
 def op7_shard(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), sharding.tree(16), sharding.tree(17))
 
 
+@query("op8_quality")
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(table(spark, folder, "documents"))
+
+
 @query(
     "op9_near_duplicates",
     r"""
