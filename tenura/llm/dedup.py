@@ -28,7 +28,7 @@ ROUNDS = ((1, 1), (4, 2), (TREES, 24))
 #: A pair at the threshold agrees in 96 of 128 parts with a deviation of 4.9; fewer than 64 are 6.5 deviations off.
 LEAST_AGREEING = MINHASHES // 2
 PIECE = 1 << 16
-SETS_BROADCAST = 32 << 20
+ROW = "_row_of_near_duplicates"
 WORD = bytewords.word_table([(0x20, 0x20), (0x09, 0x0D)])
 _RANDOM = np.random.default_rng(75)
 FACTORS = _RANDOM.integers(0, 1 << 31, MINHASHES, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -275,7 +275,7 @@ def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, row, n_shingles, component_id, kept.
+    """One row per document: doc_id, row, n_shingles, root (names the component), component_id, kept.
 
     Two documents are linked if their sets of 5-word shingles have a Jaccard similarity of 0.75 or more;
     component_id is the least doc_id reachable over links, and kept marks the documents that bear it.
@@ -311,4 +311,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = member.withColumn("root", F.coalesce("root", "node"))
     least = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("doc_id").alias("component_id"))
     named = member.join(least, "root", "left").withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return named.select("doc_id", "row", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return named.select("doc_id", "row", "n_shingles", "root", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents, with all their columns, without near-duplicates of one with a smaller doc_id.
+
+    Of rows that share the least doc_id of a group one is kept. Null and empty texts are all kept.
+    """
+    found = near_duplicates(docs)
+    # rows without shingles stand for themselves; of a group the first row with its least doc_id stays
+    alone = found.where("n_shingles = 0").select("row")
+    chosen = found.where("n_shingles > 0 and kept").groupBy("root").agg(F.min("row").alias("row")).select("row")
+    wanted = materialise(alone.union(chosen), "kept")
+    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
+    side = F.broadcast(wanted) if fits(wanted.count(), 16) else wanted
+    return numbered.join(side.withColumnRenamed("row", ROW), ROW, "left_semi").drop(ROW)

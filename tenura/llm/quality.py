@@ -17,6 +17,8 @@ ABSTAIN, BAD, GOOD = 0, 1, 2
 BUCKETS = 1 << 14
 SHAPES = 1 << 9
 SAMPLE = 6_000  # documents that the scorer is fitted to
+WRONG = 0.015
+FEW = 20  # words from which the share of short ones says something
 ROUNDS = 60
 EPOCHS = 12
 RATE = 0.5
@@ -88,7 +90,7 @@ def describe(column: pa.Array) -> Shard:
     length = np.diff(offsets)
     statistics = {
         "repeats": _share(per_doc(same), n), "pairs": distinct, "symbols": _share(all_symbols, length),
-        "capitals": _share(all_upper, all_upper + all_lower), "short": _share(per_doc((size <= 3) & (symbols == 0)), n), "stops": _share(per_doc(stop), n),
+        "capitals": _share(all_upper, all_upper + all_lower), "short": np.where(n < FEW, np.nan, _share(per_doc((size <= 3) & (symbols == 0)), n)), "stops": _share(per_doc(stop), n),
         "words": n.astype(float), "digits": _share(all_digits, length),
     }
     big = np.minimum(np.log2(np.maximum(size, 1)).astype(np.int64), 7)
@@ -118,7 +120,7 @@ def unpack(patterns: np.ndarray) -> np.ndarray:
 
 class Labels(NamedTuple):
     prior: float  # share of good documents
-    chances: np.ndarray  # (heuristic, class, vote)
+    chances: np.ndarray  # (heuristic, class, vote) among those that vote; 1 for abstaining, which says nothing
 
     def posterior(self, vote: np.ndarray) -> np.ndarray:
         """Probability that a document with these votes is good."""
@@ -130,12 +132,12 @@ class Labels(NamedTuple):
 def estimate(vote: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> Labels:
     """Expectation-maximisation over vote patterns and how many documents have each.
 
-    Heuristics are taken as independent given the class. Counts start with one document for each vote,
+    Heuristics are taken as independent given the class, and abstaining as no evidence. Counts start with one document for each vote,
     and with four for votes that agree with the class, so classes keep their meaning.
     """
     weights = count.astype(float)
     chances = np.zeros((len(LABELLERS), 2, 3))
-    chances[:, 0], chances[:, 1] = (0.3, 0.5, 0.2), (0.3, 0.1, 0.6)
+    chances[:, 0], chances[:, 1] = (1, 0.7, 0.3), (1, 0.1, 0.9)
     labels = Labels(0.7, chances)
     start = np.ones((len(LABELLERS), 2, 3))
     start[:, 0, BAD] = start[:, 1, GOOD] = 4
@@ -143,9 +145,12 @@ def estimate(vote: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> Label
         good = labels.posterior(vote)
         each = np.stack([1 - good, good]) * weights
         chances = start.copy()
-        for value in (ABSTAIN, BAD, GOOD):
-            chances[:, :, value] += ((vote == value).T @ each.T)
-        chances /= chances.sum(axis=2, keepdims=True)
+        for value in (BAD, GOOD):
+            chances[:, :, value] += (vote == value).T @ each.T
+        chances[:, :, 1:] /= chances[:, :, 1:].sum(axis=2, keepdims=True)
+        over = np.maximum(chances[:, 1, BAD] - WRONG, 0)
+        chances[:, 1, BAD] -= over
+        chances[:, 1, GOOD] += over
         prior = float(np.clip((each[1].sum() + 1) / (weights.sum() + 2), 0.01, 0.99))
         labels = Labels(prior, chances)
     return labels
