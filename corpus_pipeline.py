@@ -14,7 +14,7 @@ from tenura.llm.queries import BYTE_BPE, pii_key
 from tenura.session import fresh_path
 
 #: A language is taken as known from this mean probability on.
-LEAST_SCORE = 0.35
+LEAST_SCORE = 0.3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

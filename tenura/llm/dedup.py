@@ -28,7 +28,7 @@ ROUNDS = ((1, 1), (4, 2), (TREES, 24))
 #: A pair at the threshold agrees in 96 of 128 parts with a deviation of 4.9; fewer than 64 are 6.5 deviations off.
 LEAST_AGREEING = MINHASHES // 2
 PIECE = 1 << 16
-ROW = "_row_of_near_duplicates"
+ID, PRINT, AGAIN = "_chosen_doc_id", "_chosen_print", "_chosen_again"
 WORD = bytewords.word_table([(0x20, 0x20), (0x09, 0x0D)])
 _RANDOM = np.random.default_rng(75)
 FACTORS = _RANDOM.integers(0, 1 << 31, MINHASHES, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -101,10 +101,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = [next(parts).tobytes() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column("doc_id"), batch.column("print"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(_node(sets), pa.binary()), pa.array(marks, pa.binary()),
             ],
-            names=["doc_id", "row", "n_shingles", "node", "parts"],
+            names=["doc_id", "print", "n_shingles", "node", "parts"],
         )
 
 
@@ -275,7 +275,7 @@ def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, row, n_shingles, root (names the component), component_id, kept.
+    """One row per document: doc_id, print (hash of the text), n_shingles, root (names the component), component_id, kept.
 
     Two documents are linked if their sets of 5-word shingles have a Jaccard similarity of 0.75 or more;
     component_id is the least doc_id reachable over links, and kept marks the documents that bear it.
@@ -289,11 +289,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     A null or empty text has no shingles, is linked with nothing and kept. Repeated rows are copies; rows
     that share a doc_id but not the text are separate documents. A null doc_id counts as the greatest id.
-    An empty table gives no rows. Other columns are ignored. ``row`` numbers the rows of ``docs``.
+    An empty table gives no rows. Other columns are ignored.
     """
-    source = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    source = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = materialise(source.mapInArrow(_sketch, f"doc_id {id_type}, row long, n_shingles long, node binary, parts binary"), "sketches")
+    rows = materialise(source.mapInArrow(_sketch, f"doc_id {id_type}, print long, n_shingles long, node binary, parts binary"), "sketches")
     nodes = rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("parts").alias("parts")
     )
@@ -307,11 +307,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found = _confirmed(docs, nodes, materialise(candidates(grouped, trees, reach), "candidates"))
         links = found if links is None else links.union(found)
         roots = components(links)
-    member = rows.select("doc_id", "row", "n_shingles", "node").join(roots, "node", "left")
+    member = rows.select("doc_id", "print", "n_shingles", "node").join(roots, "node", "left")
     member = member.withColumn("root", F.coalesce("root", "node"))
     least = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("doc_id").alias("component_id"))
     named = member.join(least, "root", "left").withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return named.select("doc_id", "row", "n_shingles", "root", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return named.select("doc_id", "print", "n_shingles", "root", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -319,11 +319,20 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of rows that share the least doc_id of a group one is kept. Null and empty texts are all kept.
     """
-    found = near_duplicates(docs)
-    # rows without shingles stand for themselves; of a group the first row with its least doc_id stays
-    alone = found.where("n_shingles = 0").select("row")
-    chosen = found.where("n_shingles > 0 and kept").groupBy("root").agg(F.min("row").alias("row")).select("row")
-    wanted = materialise(alone.union(chosen), "kept")
-    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
-    side = F.broadcast(wanted) if fits(wanted.count(), 16) else wanted
-    return numbered.join(side.withColumnRenamed("row", ROW), ROW, "left_semi").drop(ROW)
+    found = materialise(near_duplicates(docs), "groups").where("n_shingles > 0 and kept")
+    copies = found.groupBy("root", F.col("doc_id").alias(ID), F.col("print").alias(PRINT)).agg(F.count("*").alias("copies"))
+    chosen = copies.groupBy("root").agg(F.min(F.struct(PRINT, ID, "copies")).alias("x")).select(f"x.{ID}", f"x.{PRINT}", "x.copies")
+    chosen = materialise(chosen, "chosen")
+    count = chosen.count()
+    side = chosen.select(ID, PRINT, (F.col("copies") > 1).alias(AGAIN))
+    side = F.broadcast(side) if fits(count, 40) else side
+    marked = docs.withColumn("_own" + PRINT, F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(side[ID]) & (marked["_own" + PRINT] == side[PRINT])
+    joined = marked.join(side, same, "left").drop("_own" + PRINT)
+    wordless = F.coalesce(~F.col("text").rlike("[^ \\t-\\r]"), F.lit(True))
+    once = joined.where((F.col(AGAIN).isNotNull() & ~F.col(AGAIN)) | wordless)
+    kept = once.select(docs.columns)
+    if not chosen.where("copies > 1").isEmpty():
+        # partial aggregation leaves one of the repeated rows before they are shuffled
+        kept = kept.union(joined.where(F.col(AGAIN)).dropDuplicates([ID, PRINT]).select(docs.columns))
+    return kept

@@ -148,7 +148,7 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.near_duplicates(table(spark, folder, "documents")).drop("row", "root")
+    return dedup.near_duplicates(table(spark, folder, "documents")).drop("print", "root")
 
 
 @query("op10_pack")
