@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.operators.percentiles import grouped_percentiles
+from tenura.operators.ranking import rank_by_hash
 
 
 def latest(df: DataFrame, column: str = "created_at") -> Column:
@@ -201,33 +202,16 @@ def top_probability(predictions: DataFrame, n: int = 10) -> DataFrame:
 
 
 def requests_with_predictions(
-    requests: DataFrame, predictions: DataFrame, fields: Sequence[str] = ("id", "attrition_prob", "risk_level"),
-    chunk_rows: int = 100_000,
+    requests: DataFrame, predictions: DataFrame, fields: Sequence[str] = ("attrition_prob", "risk_level"),
 ) -> DataFrame:
-    """Each request with its predictions as sorted arrays of bounded length.
+    """Each request with its predictions, a row for each, numbered from 1 by ``position`` in hash order of their ids.
 
-    A request with more than ``chunk_rows`` predictions comes as several rows, numbered by
-    ``chunk``; hence no group of any size has to fit one row.
+    A request without predictions gives one row with nulls. The shape is the same for any number of
+    predictions, and no request has to fit one row or one task.
     """
-    ordered = spread_numbers(predictions.select("request_id", *fields), "request_id", "id", chunk_rows)
-    nested = ordered.groupBy("request_id", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("predictions")
-    )
-    return (
-        requests.join(nested, requests["id"] == nested["request_id"], "left")
-        .drop("request_id")
-        .withColumn("chunk", F.coalesce("chunk", F.lit(0)))
-    )
-
-
-def spread_numbers(df: DataFrame, group: str, key: str, chunk_rows: int) -> DataFrame:
-    """Split each group into hashed chunks of about ``chunk_rows`` rows (one for small groups)."""
-    sizes = df.groupBy(group).agg(F.count("*").alias("size"))
-    large = sizes.where(F.col("size") > chunk_rows).withColumn(
-        "chunks", F.ceil(F.col("size") / F.lit(chunk_rows)).cast("int")
-    )
-    chunk = F.pmod(F.xxhash64(key), F.coalesce("chunks", F.lit(1))).cast("int")
-    return df.join(large.select(group, "chunks"), group, "left").withColumn("chunk", chunk).drop("chunks")
+    ranked = rank_by_hash(predictions.select("request_id", "id", *fields), "id", 0, ["request_id"], "position")
+    given = ranked.select("request_id", "position", F.col("id").alias("prediction_id"), *fields)
+    return requests.join(given, requests["id"] == given["request_id"], "left").drop("request_id")
 
 
 def accuracy_over_time(predictions: DataFrame, outcomes: DataFrame, cut: float = 0.5) -> DataFrame:
@@ -250,4 +234,5 @@ def accuracy_over_time(predictions: DataFrame, outcomes: DataFrame, cut: float =
         total("said_stay", ~actual).alias("tn"),
     )
     n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
-    return counts.withColumn("accuracy", (F.col("tp") + F.col("tn")) / n).orderBy("month")
+    # A month whose outcomes are all unknown has no accuracy.
+    return counts.withColumn("accuracy", F.try_divide(F.col("tp") + F.col("tn"), n)).orderBy("month")

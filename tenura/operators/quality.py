@@ -122,6 +122,15 @@ def record_rules(with_id: bool = True) -> list[Rule]:
     return rules
 
 
+def payload_rules() -> list[Rule]:
+    """Rules of exploded batch payloads: those of records, text sent as text, and a request that holds employees."""
+    present = Rule("employee_id", "employees_required", F.col("position").isNotNull())
+    text = [
+        Rule(f, "text", ~F.coalesce(F.array_contains("not_text", f), F.lit(False))) for f in CATEGORICAL_FEATURES
+    ]
+    return [present, *record_rules(), *text]
+
+
 def validate(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Add ``errors`` and ``is_valid``; no row is dropped.
 
@@ -182,7 +191,7 @@ def prediction_rules() -> list[Rule]:
     """CHECK, NOT NULL and length rules of the prediction table."""
     length = lambda f, n: Rule(f, f"max_length_{n}", F.col(f).isNull() | (F.length(f) <= n))
     return [
-        Rule("request_id", "required", F.col("request_id").isNotNull()),
+        *[Rule(f, "required", F.col(f).isNotNull()) for f in ("id", "request_id", "created_at", "prediction_date")],
         Rule("attrition_prob", "between_0_and_1", F.col("attrition_prob").between(0, 1)),
         Rule("risk_level", "enum", F.col("risk_level").isin(*RISK_LEVELS)),
         length("employee_id", 50),
@@ -195,7 +204,7 @@ def prediction_rules() -> list[Rule]:
 def request_rules() -> list[Rule]:
     length = lambda f, n: Rule(f, f"max_length_{n}", F.col(f).isNull() | (F.length(f) <= n))
     return [
-        Rule("endpoint", "required", F.col("endpoint").isNotNull()),
+        *[Rule(f, "required", F.col(f).isNotNull()) for f in ("id", "created_at", "endpoint")],
         length("endpoint", 100),
         Rule("request_data", "required", F.col("request_data").isNotNull()),
         length("client_ip", 45),

@@ -33,7 +33,7 @@ def bucket_count(n_rows: int) -> int:
 def hash_digits(n_rows: int) -> int:
     """Leading hex digits that split ``n_rows`` into buckets of about the wanted size."""
     wanted = max(MIN_BUCKETS, n_rows / ROWS_PER_BUCKET)
-    return max(1, min(4, math.ceil(math.log(wanted, 16))))
+    return max(1, math.ceil(math.log(wanted, 16)))
 
 
 def value_cuts(df: DataFrame, column: str, n_rows: int) -> tuple[list[float], set[float]]:

@@ -176,21 +176,15 @@ def top_prob(spark, folder):
 
 
 @query("requests_with_predictions", PR + """
-    , lists AS (
-        SELECT request_id, COUNT(*) AS n,
-               STRING_AGG(id || ':' || risk_level, ',' ORDER BY id, attrition_prob, risk_level) AS listed
-        FROM predictions GROUP BY 1)
-    SELECT r.id, r.endpoint, COALESCE(l.n, 0) AS n_predictions, l.listed
-    FROM requests r LEFT JOIN lists l ON r.id = l.request_id""")
+    , given AS (
+        SELECT request_id, id AS prediction_id, risk_level,
+               ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY MD5('0:' || id), id) AS position
+        FROM predictions)
+    SELECT r.id, r.endpoint, g.position, g.prediction_id, g.risk_level
+    FROM requests r LEFT JOIN given g ON r.id = g.request_id""")
 def requests_with_predictions(spark, folder):
-    nested = audit.requests_with_predictions(view(spark, folder, "requests"), view(spark, folder, "predictions"))
-    listed = F.transform("predictions", lambda p: F.concat(p["id"], F.lit(":"), p["risk_level"]))
-    return nested.select(
-        "id",
-        "endpoint",
-        F.coalesce(F.size("predictions"), F.lit(0)).cast("long").alias("n_predictions"),
-        F.array_join(listed, ",").alias("listed"),
-    )
+    given = audit.requests_with_predictions(view(spark, folder, "requests"), view(spark, folder, "predictions"))
+    return given.select("id", "endpoint", "position", "prediction_id", "risk_level")
 
 
 @query("fk_orphans", PR + """
@@ -201,9 +195,13 @@ def fk_orphans(spark, folder):
     return quality.orphans(view(spark, folder, "predictions").select("id", "request_id"), logged)
 
 
-@query("pk_duplicates", P + "SELECT id, COUNT(*) AS n FROM predictions GROUP BY 1 HAVING COUNT(*) > 1")
+@query("pk_duplicates", """
+    SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, COUNT(*) AS n
+    FROM lineitem GROUP BY 1 HAVING COUNT(*) > 1""")
 def pk_duplicates(spark, folder):
-    return quality.duplicate_keys(view(spark, folder, "predictions"), "id")
+    """Order and line number are no key of these lines."""
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id")
+    return quality.duplicate_keys(table(spark, folder, "lineitem").select(key), "id")
 
 
 EXPIRED = """, gone AS (
@@ -266,14 +264,14 @@ UUID_SQL = (
 
 
 @query("audit_requests", R + f"""
-    SELECT {UUID_SQL.format(h="MD5(CAST(id AS VARCHAR))")} AS id, created_at, '/api/v1/predict' AS endpoint,
+    SELECT {UUID_SQL.format(h="MD5('request|' || CAST(id AS VARCHAR))")} AS id, created_at, '/api/v1/predict' AS endpoint,
            request_data, http_status, response_time_ms, CAST(CAST(created_at AS DATE) AS VARCHAR) AS created_date
     FROM requests""")
 def audit_requests(spark, folder):
     requests = view(spark, folder, "requests")
     rows = request_rows(
         requests, "/api/v1/predict", F.col("request_data"), F.col("http_status"), F.col("created_at"),
-        [F.col("id")], response_time_ms=F.col("response_time_ms"),
+        F.col("id"), response_time_ms=F.col("response_time_ms"),
     )
     path = fresh_path(spark, "requests")
     append_log(rows, path)
@@ -285,7 +283,8 @@ def audit_requests(spark, folder):
 
 
 @query("audit_predictions", P + f"""
-    SELECT {UUID_SQL.format(h="MD5(id)")} AS id, CAST(request_id AS VARCHAR) AS request_id, employee_id,
+    SELECT {UUID_SQL.format(h="MD5(id)")} AS id,
+           {UUID_SQL.format(h="MD5('request|' || CAST(request_id AS VARCHAR))")} AS request_id, employee_id,
            created_at AS prediction_date, ROUND(attrition_prob, 6) AS attrition_prob, risk_level,
            'v1' AS model_version, CAST(CAST(created_at AS DATE) AS VARCHAR) AS created_date
     FROM predictions""")
@@ -303,6 +302,43 @@ def audit_predictions(spark, folder):
     )
 
 
+def _written_log(spark, folder):
+    """Both tables of the log, written by day and read back."""
+    requests, predictions = view(spark, folder, "requests"), view(spark, folder, "predictions")
+    asked = request_rows(
+        requests, "/api/v1/predict", F.col("request_data"), F.col("http_status"), F.col("created_at"), F.col("id")
+    )
+    given = prediction_rows(predictions, "v1", F.col("created_at"), [F.col("id")])
+    back = []
+    for rows, label in ((asked, "requests"), (given, "predictions")):
+        path = fresh_path(spark, label)
+        append_log(rows, path)
+        back.append(spark.read.schema(rows.schema).parquet(path))
+    return back
+
+
+@query("log_join", PR + """
+    SELECT r.http_status, p.risk_level, COUNT(*) AS n, COUNT(DISTINCT r.id) AS n_requests
+    FROM predictions p JOIN requests r ON p.request_id = r.id GROUP BY 1, 2""")
+def log_join(spark, folder):
+    """The written log joined to itself over its own keys."""
+    requests, predictions = _written_log(spark, folder)
+    asked = requests.select(F.col("id").alias("request_id"), "http_status")
+    per_request = predictions.groupBy("request_id", "risk_level").agg(F.count("*").alias("n"))
+    return per_request.join(asked, "request_id").groupBy("http_status", "risk_level").agg(
+        F.sum("n").alias("n"), F.count("*").alias("n_requests")
+    )
+
+
+@query("log_orphans", PR + """
+    SELECT COUNT(*) AS n_predictions, COUNT(*) FILTER (request_id NOT IN (SELECT id FROM requests)) AS n_orphans
+    FROM predictions""")
+def log_orphans(spark, folder):
+    requests, predictions = _written_log(spark, folder)
+    lost = quality.orphans(predictions.select("id", "request_id"), requests).agg(F.count("*").alias("n_orphans"))
+    return predictions.agg(F.count("*").alias("n_predictions")).withColumn("n_orphans", lost.scalar())
+
+
 @query("risk_bucket", P + """
     SELECT id, attrition_prob >= 0.5 AS will_leave, ROUND(attrition_prob * 100, 2) AS probability_leave,
            ROUND((1 - attrition_prob) * 100, 2) AS probability_stay,

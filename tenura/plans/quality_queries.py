@@ -79,6 +79,9 @@ def batch_size_check(spark, folder):
                  FROM predictions)
     SELECT field, rule, n FROM (
         SELECT 'request_id' AS field, 'required' AS rule, COUNT(*) FILTER (request_id IS NULL) AS n FROM logged
+        UNION ALL SELECT 'id', 'required', COUNT(*) FILTER (id IS NULL) FROM logged
+        UNION ALL SELECT 'created_at', 'required', COUNT(*) FILTER (created_at IS NULL) FROM logged
+        UNION ALL SELECT 'prediction_date', 'required', COUNT(*) FILTER (created_at IS NULL) FROM logged
         UNION ALL SELECT 'attrition_prob', 'between_0_and_1', COUNT(*) FILTER (NOT prob BETWEEN 0 AND 1) FROM logged
         UNION ALL SELECT 'risk_level', 'enum', COUNT(*) FILTER (risk_level NOT IN ('LOW', 'MEDIUM', 'HIGH')) FROM logged
         UNION ALL SELECT 'employee_id', 'max_length_50', COUNT(*) FILTER (LENGTH(employee_id) > 50) FROM logged
@@ -89,6 +92,7 @@ def check_predictions(spark, folder):
     """One model version logs percents where the table wants fractions; the rule finds these rows."""
     clash = F.when(F.col("model_version") == "R", F.col("attrition_prob") * 100).otherwise(F.col("attrition_prob"))
     logged = view(spark, folder, "predictions").withColumn("attrition_prob", clash)
+    logged = logged.withColumn("prediction_date", F.col("created_at"))
     return quality.broken_rule_counts(logged, quality.prediction_rules())
 
 

@@ -29,14 +29,16 @@ def build_session(master: str | None = None, app: str = "tenura", **extra: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a local test session) a temporary folder is made,
-    once per session, and set as the checkpoint folder.
+    Only in local mode, as in tests, an absent setting is replaced by a temporary folder, once per session.
+    On a cluster it raises, because executors do not share the driver's disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tenura-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -25,13 +25,18 @@ def row_id(*parts: Column) -> Column:
     return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in cuts])
 
 
+def request_key(request: Column) -> Column:
+    """Id of a request's row in the log; predictions refer to it by the same call."""
+    return row_id(F.lit("request"), request)
+
+
 def request_rows(
     df: DataFrame,
     endpoint: str,
     payload: Column,
     status: Column,
     created_at: Column,
-    id_parts: Sequence[Column] = (),
+    request: Column,
     client_ip: Column | None = None,
     user_agent: Column | None = None,
     response_time_ms: Column | None = None,
@@ -39,7 +44,7 @@ def request_rows(
     """Audit rows of requests, rejected ones included (they carry their own status)."""
     none = F.lit(None)
     return df.select(
-        row_id(*id_parts).alias("id"),
+        request_key(request).alias("id"),
         created_at.alias("created_at"),
         F.lit(endpoint).alias("endpoint"),
         payload.alias("request_data"),
@@ -58,10 +63,11 @@ def prediction_rows(
     id_parts: Sequence[Column] = (),
     snapshot: Column | None = None,
 ) -> DataFrame:
-    """Audit rows of predictions: probability as a fraction, never as percent."""
+    """Audit rows of predictions: probability as a fraction, never as percent; ``request_id`` is the log's key
+    of the request (`request_key`), not the caller's."""
     return scored.select(
         row_id(*id_parts).alias("id"),
-        F.col("request_id").cast("string").alias("request_id"),
+        request_key(F.col("request_id")).alias("request_id"),
         F.col("employee_id"),
         prediction_date.alias("created_at"),
         prediction_date.alias("prediction_date"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenura.operators.prep import nan_to_null
-from tenura.operators.quality import FEATURES
+from tenura.operators.quality import CATEGORICAL_FEATURES, FEATURES
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -51,18 +51,15 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame | None:
     return None if "_corrupt_record" in card.columns or not card.columns else card
 
 
-def request_schema(with_id: bool = False) -> T.StructType:
-    """Payload of one employee, every field as text so that validation sees what was sent."""
-    names = (["employee_id"] if with_id else []) + list(FEATURES)
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
 def batch_schema() -> T.StructType:
+    """Batch payloads; employees keep the types that were sent."""
     return T.StructType(
         [
             T.StructField("request_id", T.StringType()),
             T.StructField("created_at", T.TimestampType()),
-            T.StructField("employees", T.ArrayType(request_schema(with_id=True))),
+            T.StructField("client_ip", T.StringType()),
+            T.StructField("user_agent", T.StringType()),
+            T.StructField("employees", T.ArrayType(T.VariantType())),
             T.StructField("_corrupt_record", T.StringType()),
         ]
     )
@@ -74,9 +71,19 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def explode_batches(batches: DataFrame) -> DataFrame:
-    """One row per employee with the id of its request."""
-    return batches.select("request_id", "created_at", F.explode("employees").alias("e")).select(
-        "request_id", "created_at", "e.*"
+    """One row per employee with the id of its request and its position in it.
+
+    Every field is text, so that validation sees what was sent, and ``not_text`` lists the text fields that
+    were sent as something else. A request without employees gives one row whose position is null.
+    """
+    employee = F.col("employee")
+    sent = {f: F.try_variant_get(employee, f"$.{f}", "variant") for f in CATEGORICAL_FEATURES}
+    odd = [F.when(~F.schema_of_variant(v).isin("STRING", "VOID"), F.lit(f)) for f, v in sent.items()]
+    rows = batches.select("request_id", "created_at", F.posexplode_outer("employees").alias("position", "employee"))
+    return rows.select(
+        "request_id", "created_at", "position",
+        *[F.try_variant_get(employee, f"$.{f}", "string").alias(f) for f in ("employee_id", *FEATURES)],
+        F.array_compact(F.array(*odd)).alias("not_text"),
     )
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tenura.operators.quality import FEATURES, typed, validate
+from tenura.operators.quality import FEATURES, payload_rules, typed, validate
 from tenura.operators.score import AttritionModel
-from tenura.sources.audit_log import prediction_rows, request_rows
+from tenura.sources.audit_log import prediction_rows, request_rows, row_id
 from tenura.sources.files import batch_schema, explode_batches
 
 ACCEPTED, REJECTED = 200, 422
@@ -31,6 +34,10 @@ class Sinks:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def verdicts(self) -> str:
+        return f"{self.root}/verdicts"
+
     @property
     def requests(self) -> str:
         return f"{self.root}/api_requests"
@@ -49,51 +56,102 @@ def read_requests(spark: SparkSession, folder: str, files_per_batch: int = 100)
     return spark.readStream.schema(batch_schema()).option("maxFilesPerTrigger", files_per_batch).json(folder)
 
 
-def _write(df: DataFrame, path: str, batch_id: int) -> None:
-    """Each micro-batch has a folder of its own, so a repeated batch replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+RUN = "sql.streaming.queryId"
+
+
+def _write(df: DataFrame, path: str, run: str, batch_id: int) -> None:
+    """Each micro-batch of a run has a folder of its own: a repeated batch replaces itself, and a new
+    checkpoint, which is a new run, replaces nothing."""
+    df.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+
 
+def _write_log(df: DataFrame, path: str, run: str, batch_id: int) -> None:
+    """Log rows by day, and inside a day by run and micro-batch, so that look-back filters skip folders and
+    a repeated batch replaces itself. Rebalancing gathers a day's rows in few files."""
+    parts = ["created_date", "run", "batch_id"]
+    named = df.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    writer = named.hint("rebalance", "created_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*parts).parquet(path)
 
-def score_batch(requests: DataFrame, batch_id: int, model: AttritionModel, sinks: Sinks) -> None:
+
+def score_batch(requests: DataFrame, batch_id: int, model: AttritionModel, sinks: Sinks, run: str | None = None) -> None:
     """One micro-batch: validate, score, then log.
 
-    Scores are written first; the log follows from what was written, so a failing log neither
-    stops nor changes the scores.
+    Scores, quarantine and a verdict for each request are written first; the log follows from what was
+    written. If it cannot be written, the stream goes on, and `repair_log` writes it later.
     """
-    # Four outputs read the checked rows of this micro-batch.
-    checked = validate(explode_batches(requests)).persist()
-    keys = ["request_id", "employee_id", "created_at"]
-    good = typed(checked.where("is_valid"))
-    snapshot = F.to_json(F.struct(*FEATURES)).alias("features_snapshot")
-    scored = model.score(good.withColumn("features_snapshot", snapshot), [*keys, "features_snapshot"])
-    _write(scored, sinks.scored, batch_id)
-    unread = requests.where(F.col("_corrupt_record").isNotNull()).select(
-        "request_id", F.col("_corrupt_record").alias("payload")
-    )
-    rejected = checked.where(~F.col("is_valid")).select(
-        "request_id", "employee_id", F.to_json(F.struct(*FEATURES)).alias("payload"), "errors"
-    )
-    _write(rejected.unionByName(unread, allowMissingColumns=True), sinks.quarantine, batch_id)
-
     spark = requests.sparkSession
-    back = spark.read.schema(scored.schema).parquet(f"{sinks.scored}/batch_id={batch_id}")
-    version = model.version
-    _write(
-        prediction_rows(back, version, F.col("created_at"), [F.col("request_id"), F.col("employee_id")],
-                        F.col("features_snapshot")),
-        sinks.predictions, batch_id,
-    )
-    # A request counts as rejected if any of its employees is.
-    verdicts = checked.groupBy("request_id").agg(
-        F.min("created_at").alias("created_at"), F.count("*").alias("n"), F.bool_and("is_valid").alias("ok")
+    run = run or spark.sparkContext.getLocalProperty(RUN) or "once"
+    started = F.lit(spark.range(1).select(F.current_timestamp()).first()[0])
+    requests = requests.persist()
+    readable = requests.where(F.col("_corrupt_record").isNull()).withColumn(
+        "request_id", F.coalesce("request_id", row_id(F.to_json(F.struct("created_at", "employees"))))
     )
-    payload = F.to_json(F.struct(F.col("n").alias("employee_count")))
+    checked = validate(explode_batches(readable), payload_rules()).persist()
+    try:
+        keys = ["request_id", "employee_id", "position", "created_at"]
+        good = typed(checked.where("is_valid"))
+        snapshot = F.to_json(F.struct(*FEATURES)).alias("features_snapshot")
+        scored = model.score(good.withColumn("features_snapshot", snapshot), [*keys, "features_snapshot"])
+        _write(scored, sinks.scored, run, batch_id)
+        unread = requests.where(F.col("_corrupt_record").isNotNull()).select(
+            F.coalesce("request_id", row_id(F.col("_corrupt_record"))).alias("request_id"), F.col("_corrupt_record").alias("payload"),
+            F.lit(None).cast("int").alias("position"),
+        )
+        rejected = checked.where(~F.col("is_valid")).select(
+            "request_id", "employee_id", "position", F.to_json(F.struct(*FEATURES)).alias("payload"), "errors"
+        )
+        _write(rejected.unionByName(unread, allowMissingColumns=True), sinks.quarantine, run, batch_id)
+        # A request counts as rejected if any of its employees is, if it has none, or if it cannot be read.
+        facts = readable.groupBy("request_id").agg(
+            F.min("created_at").alias("created_at"), F.min("client_ip").alias("client_ip"), F.min("user_agent").alias("user_agent")
+        )
+        verdicts = checked.groupBy("request_id").agg(F.count("position").alias("employee_count"), F.bool_and("is_valid").alias("ok"))
+        verdicts = verdicts.join(facts, "request_id").unionByName(
+            unread.select("request_id", F.lit(0).cast("long").alias("employee_count"), F.lit(False).alias("ok")).distinct(), allowMissingColumns=True
+        )
+        elapsed = (F.unix_millis(F.current_timestamp()) - F.unix_millis(started)).cast("int")
+        verdicts = verdicts.withColumn("created_at", F.coalesce("created_at", started)).withColumn("elapsed_ms", elapsed)
+        _write(verdicts, sinks.verdicts, run, batch_id)
+    finally:
+        checked.unpersist()
+        requests.unpersist()
+    try:
+        write_log(spark, sinks, model.version, run, batch_id)
+    except (PySparkException, Py4JJavaError) as error:
+        warnings.warn(f"micro-batch {batch_id} of run {run} is scored but not logged: {str(error)[:300]}", stacklevel=2)
+
+
+def write_log(spark: SparkSession, sinks: Sinks, version: str, run: str, batch_id: int) -> None:
+    """Audit rows of one micro-batch, made from its scores and verdicts; repeating it changes nothing."""
+    scored = spark.read.parquet(f"{sinks.scored}/run={run}/batch_id={batch_id}")
+    verdicts = spark.read.parquet(f"{sinks.verdicts}/run={run}/batch_id={batch_id}")
+    dates = verdicts.select("request_id", F.col("created_at").alias("asked_at"))
+    scored = scored.join(dates, "request_id")
+    parts = [F.col("request_id"), F.col("position"), F.col("employee_id")]
+    predictions = prediction_rows(scored, version, F.col("asked_at"), parts, F.col("features_snapshot"))
+    _write_log(predictions, sinks.predictions, run, batch_id)
+    payload = F.to_json(F.struct("employee_count"))
     status = F.when(F.col("ok"), ACCEPTED).otherwise(REJECTED)
-    _write(
-        request_rows(verdicts, ENDPOINT, payload, status, F.col("created_at"), [F.col("request_id")]),
-        sinks.requests, batch_id,
+    rows = request_rows(
+        verdicts, ENDPOINT, payload, status, F.col("created_at"), F.col("request_id"),
+        F.col("client_ip"), F.col("user_agent"), F.col("elapsed_ms"),
     )
-    checked.unpersist()
+    _write_log(rows, sinks.requests, run, batch_id)
+
+
+def repair_log(spark: SparkSession, sinks: Sinks, version: str) -> int:
+    """Write the log of every scored micro-batch whose requests are not in it; gives their number."""
+    done = spark.read.parquet(sinks.verdicts).select("run", F.col("batch_id").cast("long")).distinct()
+    try:
+        logged = spark.read.parquet(sinks.requests).select("run", F.col("batch_id").cast("long")).distinct()
+        done = done.join(logged, ["run", "batch_id"], "left_anti")
+    except AnalysisException:  # nothing was ever logged
+        pass
+    missing = done.collect()  # a row for each micro-batch that failed
+    for batch in missing:
+        write_log(spark, sinks, version, batch["run"], batch["batch_id"])
+    return len(missing)
 
 
 def start_scoring(

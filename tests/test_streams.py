@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from tenura.operators import audit, score
-from tenura.plans import model_queries
+from tenura.operators import audit, quality, score
+from tenura.plans import model_queries, registry
 from tenura.session import fresh_path
 from tenura.sources import files
 from tenura.sources.views import view
@@ -25,47 +25,80 @@ def _request(number, employees):
     return json.dumps({"request_id": f"r{number}", "created_at": "2024-01-31T10:00:00Z", "employees": employees})
 
 
+def _start(spark, source, model, sinks):
+    scoring.start_scoring(spark, str(source), model, sinks).awaitTermination()
+
+
 def test_stream(spark, model, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     people = [{**GOOD, "employee_id": f"e{i}", "age": 30 + i} for i in range(10)]
-    lines = [_request(1, people[:6]), _request(2, people[6:9] + [{**people[9], "age": 17}]), "{broken"]
+    twice = {**people[0], "employee_id": "twice"}
+    lines = [
+        _request(1, people[:6]), _request(2, people[6:9] + [{**people[9], "age": 17}]), "{broken", _request(4, []),
+        json.dumps({"request_id": "r5", "created_at": "2024-01-31T10:00:00Z"}), _request(6, [{**people[1], "poste": 17}]),
+        json.dumps({"request_id": "r7", "created_at": "nonsense", "employees": people[:1]}), _request(8, [twice, twice]),
+    ]
     (source / "a.json").write_text("\n".join(lines))
     sinks = scoring.Sinks(f"{tmp_path}/out")
-    scoring.start_scoring(spark, str(source), model, sinks).awaitTermination()
-    assert spark.read.parquet(sinks.scored).count() == 9
+    _start(spark, source, model, sinks)
+    assert spark.read.parquet(sinks.scored).count() == 11
     held = spark.read.parquet(sinks.quarantine)
-    assert held.where(F.col("employee_id") == "e9").select(F.inline("errors")).first()["rule"] == "range"
+    rules = {(r["request_id"], r["rule"]) for r in held.select("request_id", F.inline("errors")).collect()}
+    assert {("r2", "range"), ("r4", "employees_required"), ("r5", "employees_required"), ("r6", "text")} <= rules
     assert held.where(F.col("payload") == "{broken").count() == 1
-    requests = {r["id"]: r for r in spark.read.parquet(sinks.requests).collect()}
-    assert sorted(r["http_status"] for r in requests.values()) == [200, 422]
-    assert {r["request_data"] for r in requests.values()} == {'{"employee_count":6}', '{"employee_count":4}'}
+    requests = spark.read.parquet(sinks.requests)
+    by_status = {r["http_status"]: r["n"] for r in requests.groupBy("http_status").agg(F.count("*").alias("n")).collect()}
+    assert by_status == {200: 2, 422: 6} and requests.where("response_time_ms is null or created_date is null").count() == 0
     logged = spark.read.parquet(sinks.predictions)
     assert logged.where(~F.col("attrition_prob").between(0, 1)).count() == 0
-    assert logged.select("id").distinct().count() == 9
+    assert logged.select("id").distinct().count() == 11
+    assert quality.orphans(logged, requests).count() == 0
+    assert logged.join(requests.select(F.col("id").alias("request_id"), "http_status"), "request_id").count() == 11
     shots = logged.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
     by_department = audit.avg_prob_by_snapshot(shots, audit.latest(shots)).collect()
-    assert [(r["department"], r["prediction_count"]) for r in by_department] == [("Sales", 9)]
-
-    # The same micro-batch again leaves one copy of each row.
-    scoring.score_batch(files.read_batches(spark, str(source)), 0, model, sinks)
-    assert spark.read.parquet(sinks.scored).count() == 9
-    assert spark.read.parquet(sinks.predictions).count() == 9
+    assert [(r["department"], r["prediction_count"]) for r in by_department] == [("Sales", 11)]
 
     # A later file is picked up where the stream stopped.
-    (source / "b.json").write_text(_request(3, [{**people[0], "employee_id": "late"}]))
-    scoring.start_scoring(spark, str(source), model, sinks).awaitTermination()
-    assert spark.read.parquet(sinks.scored).count() == 10
+    (source / "b.json").write_text(_request(9, [{**people[0], "employee_id": "late"}]))
+    _start(spark, source, model, sinks)
+    assert spark.read.parquet(sinks.scored).count() == 12
+    assert spark.read.parquet(sinks.predictions).count() == 12
 
 
-def test_large_requests_come_in_chunks(spark):
+def test_repeated_batch_and_new_checkpoint(spark, model, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.json").write_text(_request(1, [{**GOOD, "employee_id": "e1"}]))
+    sinks = scoring.Sinks(f"{tmp_path}/out")
+    for _ in range(2):  # the same micro-batch of the same run leaves one copy
+        scoring.score_batch(files.read_batches(spark, str(source)), 0, model, sinks, "first")
+    assert spark.read.parquet(sinks.scored).count() == 1 and spark.read.parquet(sinks.predictions).count() == 1
+    scoring.score_batch(files.read_batches(spark, str(source)), 0, model, sinks, "second")
+    assert spark.read.parquet(sinks.predictions).count() == 2
+
+
+def test_a_failing_log_does_not_stop_scoring(spark, model, tmp_path):
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    out.mkdir()
+    (source / "a.json").write_text(_request(1, [{**GOOD, "employee_id": "e1"}]))
+    (out / "predictions").write_text("a file where a folder should be")
+    sinks = scoring.Sinks(str(out))
+    _start(spark, source, model, sinks)
+    assert spark.read.parquet(sinks.scored).count() == 1
+    (out / "predictions").unlink()
+    assert scoring.repair_log(spark, sinks, model.version) == 1
+    assert spark.read.parquet(sinks.predictions).count() == 1 and scoring.repair_log(spark, sinks, model.version) == 0
+
+
+def test_every_prediction_of_a_request_has_a_row(spark):
     requests = spark.createDataFrame([(1,), (2,), (3,)], "id long")
     rows = [(f"p{i}", 1 if i < 90 else 2, 0.5, "LOW") for i in range(100)]
     predictions = spark.createDataFrame(rows, "id string, request_id long, attrition_prob double, risk_level string")
-    nested = audit.requests_with_predictions(requests, predictions, chunk_rows=10)
-    sizes = nested.groupBy("id").agg(F.sum(F.coalesce(F.size("predictions"), F.lit(0))).alias("n"), F.count("*").alias("c"))
-    got = {r["id"]: (r["n"], r["c"]) for r in sizes.collect()}
-    assert got[2] == (10, 1) and got[3] == (0, 1) and got[1][0] == 90 and got[1][1] > 5
+    got = audit.requests_with_predictions(requests, predictions).collect()
+    places = {k: sorted(r["position"] for r in got if r["id"] == k and r["position"]) for k in (1, 2, 3)}
+    assert places == {1: list(range(1, 91)), 2: list(range(1, 11)), 3: []} and len(got) == 101
 
 
 def _plan(df):
@@ -89,8 +122,8 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - {
-    n for n in entry_points.queries() if n.startswith(("cv_", "clf_", "oof", "gate_rank_fit", "threshold_metrics_cv",
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - {
+    n for n in registry.QUERIES if n.startswith(("cv_", "clf_", "oof", "gate_rank_fit", "threshold_metrics_cv",
                                                        "train", "model", "score", "explain", "stream", "smote",
                                                        "near", "tomek", "knn", "over", "corr_k", "corr_s"))}))
 def test_no_cross_join(spark, folder, name):
@@ -109,7 +142,7 @@ def test_log_round_trip_by_day(spark, folder):
     from tenura.sources.audit_log import append_log, request_rows
 
     requests = view(spark, folder, "requests")
-    rows = request_rows(requests, "/p", F.col("request_data"), F.col("http_status"), F.col("created_at"), [F.col("id")])
+    rows = request_rows(requests, "/p", F.col("request_data"), F.col("http_status"), F.col("created_at"), F.col("id"))
     append_log(rows, path)
     log = spark.read.parquet(path)
     recent = audit.since(log, audit.latest(log), 30)
