@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,4 +29,4 @@ def digits_key(value: Column, strict: bool = True) -> Column:
 
 def standard_name(name: str) -> str:
     """Column name without outer spaces, in lower case, inner spaces as underscores."""
-    return re.sub(" ", "_", name.strip().lower())
+    return name.strip().lower().replace(" ", "_")

@@ -112,7 +112,7 @@ def one_hot_columns(plans: Sequence[dict]) -> list[tuple[str, Column]]:
 
 def multi_hot_columns(column: str, vocabulary: Sequence[str]) -> list[tuple[str, Column]]:
     found = tokens(F.coalesce(F.col(column), F.lit("")))
-    return [(f"multi__{t}", F.array_contains(found, t).cast("double")) for t in vocabulary]
+    return [(f"multiuse__{t}", F.array_contains(found, t).cast("double")) for t in vocabulary]
 
 
 def numeric_columns(medians: dict[str, float]) -> list[tuple[str, Column]]:

@@ -27,6 +27,8 @@ ENHANCED = {
     "n_estimators": 200, "learning_rate": 0.1, "max_depth": 7, "min_child_weight": 3, "subsample": 0.7,
     "colsample_bytree": 1.0, "reg_alpha": 1, "reg_lambda": 5, "scale_pos_weight": 1.0, "random_state": 42,
 }
+#: Settings that the boosted trees here have no counterpart for.
+NOT_APPLIED = ("reg_alpha", "reg_lambda", "scale_pos_weight")
 FOREST_TREES = 300
 LOGISTIC_ITERATIONS = 1000
 

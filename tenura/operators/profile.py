@@ -86,7 +86,7 @@ def value_frequencies(df: DataFrame, column: str, split: bool = False, sep: str
     ``percentage`` is the share of all counted parts and ``n_unique`` the number of values.
     """
     if column not in df.columns:
-        raise KeyError(f"Column '{column}' not in DataFrame")
+        raise KeyError(f"no column named {column}")
     text = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("value"))
     if split:
         text = text.select(F.explode(tokens(F.col("value"), sep)).alias("value"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.functions.hashing import pseudonym
+from tenura.session import materialise
 
 RETENTION_DAYS = 365
 
@@ -51,16 +52,40 @@ def pseudonymise(predictions: DataFrame, salt: str) -> DataFrame:
     return predictions.withColumn("employee_id", pseudonym(F.col("employee_id"), salt))
 
 
+def _drop_rows(path: str, table: DataFrame, dead: DataFrame, key: str, layout: tuple[str, ...]) -> None:
+    """Remove rows from a log laid out by day: untouched days stay, others are rewritten or dropped whole."""
+    spark = table.sparkSession
+    touched = [r[0] for r in dead.select("created_date").distinct().collect()]  # one value for each day
+    if not touched:
+        return
+    known = F.array(*[F.lit(d) for d in touched if d is not None])
+    in_touched = F.array_contains(known, F.col("created_date"))
+    if None in touched:
+        in_touched = in_touched | F.col("created_date").isNull()
+    kept = materialise(table.where(in_touched).join(dead.select(key).distinct(), key, "left_anti").select(table.columns), "kept-days")
+    left = {r[0] for r in kept.select("created_date").distinct().collect()}
+    for day in set(touched) - left:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/created_date={day or '__HIVE_DEFAULT_PARTITION__'}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    writer = kept.hint("rebalance", "created_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*layout).parquet(path)
+
+
 def cleanup(
-    requests_path: str, predictions_path: str, out_requests: str, out_predictions: str, spark, as_of: datetime,
-    days: int = RETENTION_DAYS,
+    spark: SparkSession, requests_path: str, predictions_path: str, as_of: datetime | Column, days: int = RETENTION_DAYS,
+    layout: tuple[str, ...] = ("created_date",),
 ) -> int:
-    """Write the kept log to new folders and give the number of deleted requests.
+    """Delete expired requests and their predictions from the log; gives the number of deleted requests.
 
-    The caller swaps the folders, so a failed run leaves the old log whole.
+    Whole expired days are dropped and only days that keep some rows are rewritten. Predictions go first:
+    a run that fails leaves requests that the next run deletes with what is left of their predictions.
+    A request without a time never expires.
     """
     requests, predictions = spark.read.parquet(requests_path), spark.read.parquet(predictions_path)
-    removed = expired_requests(requests, as_of, days).count()
-    kept_requests(requests, as_of, days).write.partitionBy("created_date").parquet(out_requests)
-    kept_predictions(predictions, requests, as_of, days).write.partitionBy("created_date").parquet(out_predictions)
+    gone = materialise(expired_requests(requests, as_of, days).select("id", "created_date"), "expired")
+    removed = gone.count()
+    keys = gone.select(F.col("id").alias("request_id"))
+    given = materialise(predictions.join(keys, "request_id", "left_semi").select("request_id", "created_date"), "expired-predictions")
+    _drop_rows(predictions_path, predictions, given, "request_id", layout)
+    _drop_rows(requests_path, requests, gone, "id", layout)
     return removed

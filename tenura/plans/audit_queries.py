@@ -228,6 +228,21 @@ def retention_deleted(spark, folder):
     return requests_deleted.withColumn("predictions_deleted", predictions_deleted)
 
 
+@query("retention_cleanup", PR + EXPIRED + """
+    SELECT (SELECT COUNT(*) FROM gone) AS requests_deleted, COUNT(*) AS predictions_kept,
+           (SELECT COUNT(*) FROM requests WHERE id NOT IN (SELECT id FROM gone)) AS requests_kept
+    FROM predictions WHERE request_id NOT IN (SELECT id FROM gone)""")
+def retention_cleanup(spark, folder):
+    """The written log, cleaned in place."""
+    _, _, paths = _written_log(spark, folder)
+    newest = audit.latest(view(spark, folder, "requests"))
+    removed = retention.cleanup(spark, *paths, newest)
+    counts = [spark.read.parquet(p).agg(F.count("*")).scalar() for p in paths]
+    return spark.range(1).select(
+        F.lit(removed).cast("long").alias("requests_deleted"), counts[1].alias("predictions_kept"), counts[0].alias("requests_kept")
+    )
+
+
 @query("erase_employee", P + """
     SELECT id, employee_id FROM predictions
     WHERE employee_id NOT IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size = 1)""")
@@ -303,42 +318,33 @@ def audit_predictions(spark, folder):
 
 
 def _written_log(spark, folder):
-    """Both tables of the log, written by day and read back."""
+    """Both tables of the log, written (here a folder holds a month) and read back, and their folders."""
     requests, predictions = view(spark, folder, "requests"), view(spark, folder, "predictions")
     asked = request_rows(
         requests, "/api/v1/predict", F.col("request_data"), F.col("http_status"), F.col("created_at"), F.col("id")
     )
     given = prediction_rows(predictions, "v1", F.col("created_at"), [F.col("id")])
-    back = []
+    back, paths = [], []
     for rows, label in ((asked, "requests"), (given, "predictions")):
-        path = fresh_path(spark, label)
-        append_log(rows, path)
-        back.append(spark.read.schema(rows.schema).parquet(path))
-    return back
+        paths.append(fresh_path(spark, label))
+        append_log(rows.withColumn("created_date", F.trunc("created_date", "MM")), paths[-1])
+        back.append(spark.read.schema(rows.schema).parquet(paths[-1]))
+    return *back, paths
 
 
 @query("log_join", PR + """
-    SELECT r.http_status, p.risk_level, COUNT(*) AS n, COUNT(DISTINCT r.id) AS n_requests
-    FROM predictions p JOIN requests r ON p.request_id = r.id GROUP BY 1, 2""")
+    SELECT r.http_status, p.risk_level, COUNT(*) AS n, COUNT(DISTINCT p.request_id) AS n_requests
+    FROM predictions p LEFT JOIN requests r ON p.request_id = r.id GROUP BY 1, 2""")
 def log_join(spark, folder):
-    """The written log joined to itself over its own keys."""
-    requests, predictions = _written_log(spark, folder)
+    """The written log joined to itself over its own keys; a prediction without its request has no status."""
+    requests, predictions, _ = _written_log(spark, folder)
     asked = requests.select(F.col("id").alias("request_id"), "http_status")
     per_request = predictions.groupBy("request_id", "risk_level").agg(F.count("*").alias("n"))
-    return per_request.join(asked, "request_id").groupBy("http_status", "risk_level").agg(
+    return per_request.join(asked, "request_id", "left").groupBy("http_status", "risk_level").agg(
         F.sum("n").alias("n"), F.count("*").alias("n_requests")
     )
 
 
-@query("log_orphans", PR + """
-    SELECT COUNT(*) AS n_predictions, COUNT(*) FILTER (request_id NOT IN (SELECT id FROM requests)) AS n_orphans
-    FROM predictions""")
-def log_orphans(spark, folder):
-    requests, predictions = _written_log(spark, folder)
-    lost = quality.orphans(predictions.select("id", "request_id"), requests).agg(F.count("*").alias("n_orphans"))
-    return predictions.agg(F.count("*").alias("n_predictions")).withColumn("n_orphans", lost.scalar())
-
-
 @query("risk_bucket", P + """
     SELECT id, attrition_prob >= 0.5 AS will_leave, ROUND(attrition_prob * 100, 2) AS probability_leave,
            ROUND((1 - attrition_prob) * 100, 2) AS probability_stay,

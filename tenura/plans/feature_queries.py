@@ -51,7 +51,7 @@ _FILLED = V + ", filled AS (SELECT id, " + ", ".join(f"COALESCE({c}, {_mode(c)})
              FROM cells c JOIN placed p ON c.col = p.col AND c.v = p.v WHERE NOT (p.size = 2 AND p.abc = 1)),
     words AS (SELECT DISTINCT id, TRIM(UNNEST(STRING_SPLIT(tags, ','))) AS t FROM filled),
     vocab AS (SELECT t FROM words WHERE t <> '' GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 30),
-    multi AS (SELECT id, 'multi__' || t AS feature, 1.0::DOUBLE AS value FROM words WHERE t IN (SELECT t FROM vocab)),
+    multi AS (SELECT id, 'multiuse__' || t AS feature, 1.0::DOUBLE AS value FROM words WHERE t IN (SELECT t FROM vocab)),
     nums AS (SELECT id, 'num__amount' AS feature, amount AS value FROM filled WHERE amount <> 0
              UNION ALL SELECT id, 'num__weight', weight FROM filled WHERE weight <> 0)"""
 
@@ -102,7 +102,7 @@ def encode_features_dense(spark, folder):
                      CASE WHEN size > 30 AND pos > 29 THEN 'infrequent' ELSE v END AS sortv,
                      'cats__' || col || '_' || CASE WHEN size > 30 AND pos > 29 THEN 'infrequent' ELSE v END AS name
               FROM placed WHERE NOT (size = 2 AND abc = 1)
-              UNION ALL SELECT 4, 0, t, 'multi__' || t FROM vocab
+              UNION ALL SELECT 4, 0, t, 'multiuse__' || t FROM vocab
               UNION ALL SELECT 5, 0, 'a', 'num__amount' UNION ALL SELECT 5, 0, 'b', 'num__weight')
     SELECT ROW_NUMBER() OVER (ORDER BY grp, last, sortv) - 1 AS position, name,
            name NOT LIKE 'num%' AS is_categorical FROM names""")

@@ -96,6 +96,35 @@ def check_predictions(spark, folder):
     return quality.broken_rule_counts(logged, quality.prediction_rules())
 
 
+@query("check_requests", with_views("requests") + """
+    , logged AS (SELECT *, CASE WHEN http_status = 200 THEN http_status END AS status, REPEAT('f', CAST(id % 60 AS INT)) AS ip FROM requests)
+    SELECT field, rule, n FROM (
+        SELECT 'id' AS field, 'required' AS rule, COUNT(*) FILTER (id IS NULL) AS n FROM logged
+        UNION ALL SELECT 'created_at', 'required', COUNT(*) FILTER (created_at IS NULL) FROM logged
+        UNION ALL SELECT 'endpoint', 'required', COUNT(*) FILTER (endpoint IS NULL) FROM logged
+        UNION ALL SELECT 'endpoint', 'max_length_100', COUNT(*) FILTER (LENGTH(endpoint) > 100) FROM logged
+        UNION ALL SELECT 'request_data', 'required', COUNT(*) FILTER (request_data IS NULL) FROM logged
+        UNION ALL SELECT 'client_ip', 'max_length_45', COUNT(*) FILTER (LENGTH(ip) > 45) FROM logged
+        UNION ALL SELECT 'http_status', 'required', COUNT(*) FILTER (status IS NULL) FROM logged)""")
+def check_requests(spark, folder):
+    """Request rows with addresses that are too long now and then, and statuses that are missing."""
+    logged = view(spark, folder, "requests").withColumn("client_ip", F.repeat(F.lit("f"), (F.col("id") % 60).cast("int")))
+    logged = logged.withColumn("http_status", F.when(F.col("http_status") == 200, F.col("http_status")))
+    return quality.broken_rule_counts(logged, quality.request_rules())
+
+
+@query("check_outputs", with_views("predictions") + """
+    SELECT field, rule, n FROM (
+        SELECT 'probability_leave' AS field, 'between_0_and_100' AS rule,
+               COUNT(*) FILTER (NOT attrition_prob * 120 BETWEEN 0 AND 100) AS n FROM predictions
+        UNION ALL SELECT 'risk_level', 'enum', COUNT(*) FILTER (LOWER(risk_level) = 'low') FROM predictions)""")
+def check_outputs(spark, folder):
+    """Scores stretched beyond 100 percent, and one level in lower case."""
+    level = F.when(F.col("risk_level") == "LOW", "low").otherwise(F.col("risk_level"))
+    given = view(spark, folder, "predictions").select((F.col("attrition_prob") * 120).alias("probability_leave"), level.alias("risk_level"))
+    return quality.broken_rule_counts(given, quality.output_rules())
+
+
 @query("batch_explode", E + """
     SELECT CAST(CAST(FLOOR(c_custkey / 50) AS BIGINT) AS VARCHAR) AS request_id, employee_id, age, genre,
            heure_supplementaires FROM employees_raw""")

@@ -21,7 +21,7 @@ def _event_stream(spark, folder):
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     return stream.select(
         F.col("ts").alias("created_at"),
-        F.col("event_id").alias("request_id"),
+        F.col("user_id").alias("request_id"),
         F.when(F.col("value") < 5, "LOW").when(F.col("value") < 20, "MEDIUM").otherwise("HIGH").alias("risk_level"),
     )
 
@@ -47,7 +47,7 @@ def stream_daily_volume(spark, folder):
 
 
 @query("stream_daily_requests", f"""
-    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, COUNT(DISTINCT event_id) AS total_requests
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, COUNT(DISTINCT user_id) AS total_requests
     FROM events WHERE {_CLOSED} GROUP BY 1""")
 def stream_daily_requests(spark, folder):
     return _closed(spark, folder, volume.daily_requests(_event_stream(spark, folder)), "requests")

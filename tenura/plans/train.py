@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.operators.features import FeatureEncoder, make_encoder
-from tenura.operators.models import ENHANCED, Classifier, boosted, class_counts, with_weights
+from tenura.operators.models import NOT_APPLIED, ENHANCED, Classifier, boosted, class_counts, with_weights
 from tenura.operators.prep import keep_present, map_target, split_feature_types
 from tenura.operators.quality import CATEGORICAL_FEATURES
 from tenura.operators.score import METADATA, PIPELINE, REPORT
@@ -43,21 +43,21 @@ def report_lines(spark: SparkSession, card: dict) -> DataFrame:
     n, perf = data["n_samples"], card["performance_cv"]
     share = lambda k: f"{balance[k]} ({balance[k] / n:.1%})"
     rows = [
-        ("MODEL", "Training Date", card["training_date"]),
-        ("MODEL", "Model Version", card["model_version"]),
-        ("DATASET", "Total Samples", str(n)),
-        ("DATASET", "Features (raw)", str(data["n_features_raw"])),
-        ("DATASET", "Features (encoded)", str(data["n_features_encoded"])),
-        ("DATASET", "Class 0 (Stayed)", share("class_0_stayed")),
-        ("DATASET", "Class 1 (Left)", share("class_1_left")),
+        ("RUN", "fitted at", card["training_date"]),
+        ("RUN", "version", card["model_version"]),
+        ("ROWS", "used", str(n)),
+        ("ROWS", "columns before encoding", str(data["n_features_raw"])),
+        ("ROWS", "columns after encoding", str(data["n_features_encoded"])),
+        ("ROWS", "stayed", share("class_0_stayed")),
+        ("ROWS", "left", share("class_1_left")),
     ]
-    shown = {"accuracy": "Accuracy", "precision": "Precision", "recall": "Recall", "f1": "F1-Score",
-             "roc_auc": "ROC AUC", "pr_auc": "PR AUC"}
+    shown = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
     rows += [
-        ("CROSS-VALIDATION", label, f"{perf[f'{m}_mean']:.3f} ± {perf[f'{m}_std']:.3f}") for m, label in shown.items()
+        ("FOLDS", f"{m}, mean and deviation", f"{perf[f'{m}_mean']:.3f} / {perf[f'{m}_std']:.3f}") for m in shown
     ]
-    rows += [("HYPERPARAMETERS", k, str(v)) for k, v in card["hyperparameters"].items()]
-    rows += [("FILES", "Model", PIPELINE), ("FILES", "Metadata", METADATA), ("FILES", "Report", REPORT)]
+    rows += [("SETTINGS", k, str(v)) for k, v in card["hyperparameters"].items()]
+    rows += [("SETTINGS WITHOUT EFFECT", k, str(v)) for k, v in card["hyperparameters_not_applied"].items()]
+    rows += [("FOLDER", kind, name) for kind, name in (("pipeline", PIPELINE), ("card", METADATA), ("report", REPORT))]
     return spark.createDataFrame(
         [(i, *r) for i, r in enumerate(rows)], "position int, section string, metric string, value string"
     )
@@ -94,7 +94,7 @@ def train(
     for row in evaluation.summary().collect():
         name = "pr_auc" if row["metric"] == "average_precision" else row["metric"]
         performance |= {f"{name}_mean": row["mean"], f"{name}_std": row["std"]}
-    used = {**settings, "n_estimators": trees or settings["n_estimators"]}
+    used = {k: v for k, v in {**settings, "n_estimators": trees or settings["n_estimators"]}.items() if k not in NOT_APPLIED}
     card = {
         "model_version": MODEL_VERSION,
         "training_date": datetime.now(timezone.utc).isoformat(),
@@ -112,6 +112,7 @@ def train(
             "categorical": cats, "numeric": nums, "dropped_correlated": drop_list, "total_input": len(cats) + len(nums),
         },
         "hyperparameters": used,
+        "hyperparameters_not_applied": {k: v for k, v in settings.items() if k in NOT_APPLIED},
         "performance_cv": performance,
     }
     pipeline.write().overwrite().save(f"{folder}/{PIPELINE}")

@@ -85,7 +85,7 @@ VIEWS: dict[str, str] = {
         SELECT CASE WHEN c_custkey % 97 = 5 THEN NULL
                     ELSE 'EMP_' || CAST(c_custkey AS STRING) END AS employee_id,
                c_custkey,
-               CASE WHEN c_custkey % 89 = 0 THEN 'thirty-five'
+               CASE WHEN c_custkey % 89 = 0 THEN 'many'
                     WHEN c_custkey % 83 = 0 THEN NULL
                     WHEN c_custkey % 79 = 0 THEN '35.5'
                     WHEN c_custkey % 73 = 0 THEN '35.0'
@@ -116,8 +116,8 @@ VIEWS: dict[str, str] = {
                     WHEN 3 THEN 'Célibataire' WHEN 4 THEN 'Marié' ELSE 'Divorcé' END AS statut_marital,
                c_mktsegment AS departement,
                'Poste ' || CAST(c_nationkey AS STRING) AS poste,
-               CASE c_nationkey % 3 WHEN 0 THEN 'Life Sciences' WHEN 1 THEN 'Recherche & Développement'
-                    ELSE 'Sciences de l''ingénieur' END AS domaine_etude,
+               CASE c_nationkey % 3 WHEN 0 THEN 'Chemistry' WHEN 1 THEN 'Génie & Matériaux'
+                    ELSE 'Droit de l''entreprise' END AS domaine_etude,
                CASE WHEN c_custkey % 71 = 0 THEN 'Maybe' WHEN c_custkey % 3 = 0 THEN 'Yes'
                     ELSE 'No' END AS heure_supplementaires
         FROM {customer}""",

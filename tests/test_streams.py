@@ -57,7 +57,7 @@ def test_stream(spark, model, tmp_path):
     assert logged.join(requests.select(F.col("id").alias("request_id"), "http_status"), "request_id").count() == 11
     shots = logged.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
     by_department = audit.avg_prob_by_snapshot(shots, audit.latest(shots)).collect()
-    assert [(r["department"], r["prediction_count"]) for r in by_department] == [("Sales", 11)]
+    assert [(r["department"], r["prediction_count"]) for r in by_department] == [("Warehouse", 11)]
 
     # A later file is picked up where the stream stopped.
     (source / "b.json").write_text(_request(9, [{**people[0], "employee_id": "late"}]))
