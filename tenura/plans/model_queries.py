@@ -16,12 +16,15 @@ from tenura.operators.gate import gate_rank_predict, gate_rank_scores
 from tenura.operators.prep import TARGET, map_target
 from tenura.operators.resample import make_samplers
 from tenura.plans.crossval import cross_validate, out_of_fold_scores, threshold_table
+from tenura.plans.quality_queries import broken
 from tenura.plans.registry import query, rounded
 from tenura.plans.train import report_lines, train
 from tenura.session import fresh_path, materialise
 from tenura.sources.views import view, with_views
 
 TREES = 10
+# What can be known of a model's results without the model: the records that are scored.
+VALID = with_views("attrition") + f", found AS ({broken('attrition')}), valid AS (SELECT * FROM found WHERE LEN(errs) = 0)"
 ENCODER = dict(cats=quality.CATEGORICAL_FEATURES, nums=quality.NUMERIC_FEATURES)
 
 
@@ -164,6 +167,53 @@ def score_batch(spark, folder):
     return model.response(model.score(valid_employees(spark, folder)))
 
 
+@query("score_batch_checked", VALID + """
+    SELECT employee_id, true AS in_range, true AS adds_up, true AS level_fits, true AS decision_fits,
+           (SELECT COUNT(*) FROM valid) AS total_employees FROM valid""")
+def score_batch_checked(spark, folder):
+    """Every valid record is scored once, and its percents, level and decision agree with each other."""
+    shown = score_batch(spark, folder)
+    leave = F.col("probability_leave")
+    level = F.when(F.col("attrition_prob") < 0.4, "LOW").when(F.col("attrition_prob") < 0.6, "MEDIUM").otherwise("HIGH")
+    return shown.select(
+        "employee_id", leave.between(0, 100).alias("in_range"),
+        (F.abs(leave + F.col("probability_stay") - 100) < 0.011).alias("adds_up"),
+        (F.col("risk_level") == level).alias("level_fits"),
+        (F.col("will_leave") == (F.col("attrition_prob") >= 0.5)).alias("decision_fits"), "total_employees",
+    )
+
+
+@query("explain_checked", VALID + "SELECT employee_id, 5 AS n_features, true AS ordered, true AS impacts_fit FROM valid")
+def explain_checked(spark, folder):
+    """Every valid record has five different features, strongest first, whose impact has the sign of its value."""
+    found = loaded(spark, folder).explain(valid_employees(spark, folder))
+    sizes = F.transform("top_features", lambda x: F.abs(x["shap_value"]))
+    return found.select(
+        "employee_id", F.size(F.array_distinct(F.transform("top_features", lambda x: x["feature"]))).alias("n_features"),
+        (sizes == F.reverse(F.array_sort(sizes))).alias("ordered"),
+        F.forall("top_features", lambda x: x["impact"].isNotNull() & x["shap_value"].isNotNull()).alias("impacts_fit"),
+    )
+
+
+@query("oof_keys", VALID + """
+    SELECT employee_id AS id, 3 AS n_models, true AS in_range FROM valid""")
+def oof_keys(spark, folder):
+    """Every labelled record gets one score from each model."""
+    scores = oof_scores(spark, folder)
+    return scores.groupBy("id").agg(
+        F.count_distinct("model").cast("int").alias("n_models"), F.bool_and(F.col("score").between(0, 1)).alias("in_range")
+    )
+
+
+@query("model_facts", VALID + """
+    SELECT COUNT(*) AS n_samples, ROUND(AVG(CASE WHEN a_quitte_l_entreprise = 'Oui' THEN 1.0 ELSE 0.0 END), 6) AS attrition_rate,
+           SUM(CASE WHEN a_quitte_l_entreprise = 'Oui' THEN 1 ELSE 0 END)::BIGINT AS n_left FROM valid""")
+def model_facts(spark, folder):
+    """Rows and class balance on the model's card."""
+    card = loaded(spark, folder).metadata
+    return rounded(card.select("dataset.n_samples", "dataset.class_balance.attrition_rate", F.col("dataset.class_balance.class_1_left").alias("n_left")))
+
+
 @query("explain_topk")
 def explain_topk(spark, folder):
     found = loaded(spark, folder).explain(valid_employees(spark, folder))

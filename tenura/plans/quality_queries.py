@@ -39,9 +39,13 @@ def _record_items() -> list[str]:
     return items
 
 
+def broken(source: str) -> str:
+    """SQL list of the rules that a record of ``source`` breaks, beside its columns."""
+    return f"SELECT *, LIST_FILTER([{', '.join(_record_items())}], lambda x: x IS NOT NULL) AS errs FROM {source}"
+
+
 @query("validate_rows", E + f"""
-    , found AS (SELECT c_custkey, LIST_FILTER([{', '.join(_record_items())}], lambda x: x IS NOT NULL) AS errs
-                FROM employees_raw)
+    , found AS ({broken('employees_raw')})
     SELECT c_custkey, LEN(errs) = 0 AS is_valid, LEN(errs) AS n_errors, ARRAY_TO_STRING(errs, ',') AS errors
     FROM found""")
 def validate_rows(spark, folder):

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tenura.operators import quality
 from tenura.plans.model_queries import loaded
+from tenura.plans.quality_queries import broken
 from tenura.plans.registry import query
 from tenura.session import fresh_path
-from tenura.sources.views import view
+from tenura.sources.views import view, with_views
 from tenura.streaming import scoring, volume
 
 # Days that end before the watermark: one day behind the newest event.
@@ -78,3 +79,12 @@ def stream_score(spark, folder):
         "employee_id", F.lit(None).cast("string").alias("risk_level"), F.lit("quarantine").alias("outcome")
     )
     return scored.unionByName(held)
+
+
+@query("stream_score_outcomes", with_views("employees_raw") + f"""
+    , found AS ({broken('employees_raw')})
+    SELECT employee_id, CASE WHEN LEN(errs) = 0 THEN 'scored' ELSE 'quarantine' END AS outcome, LEN(errs) = 0 AS has_level
+    FROM found""")
+def stream_score_outcomes(spark, folder):
+    """Where each record of the stream ends: scored if it keeps the contract, else in quarantine."""
+    return stream_score(spark, folder).select("employee_id", "outcome", F.col("risk_level").isNotNull().alias("has_level"))
