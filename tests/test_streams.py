@@ -2,15 +2,17 @@
 
 import json
 import re
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from tenura.operators import audit, quality, score
+from tenura.operators import audit, quality, retention, score
 from tenura.plans import model_queries, registry
 from tenura.session import fresh_path
 from tenura.sources import files
+from tenura.sources.audit_log import append_log, request_rows
 from tenura.sources.views import view
 from tenura.streaming import scoring
 from test_contracts import GOOD
@@ -139,8 +141,6 @@ def test_look_back_reaches_the_file_statistics(spark, folder):
 
 def test_log_round_trip_by_day(spark, folder):
     path = fresh_path(spark, "log")
-    from tenura.sources.audit_log import append_log, request_rows
-
     requests = view(spark, folder, "requests")
     rows = request_rows(requests, "/p", F.col("request_data"), F.col("http_status"), F.col("created_at"), F.col("id"))
     append_log(rows, path)
@@ -148,3 +148,34 @@ def test_log_round_trip_by_day(spark, folder):
     recent = audit.since(log, audit.latest(log), 30)
     assert "PartitionFilters: [isnotnull(created_date" in _plan(recent)
     assert recent.count() == audit.since(requests, audit.latest(requests), 30).count()
+
+
+def test_cleanup_leaves_other_days_alone(spark, tmp_path):
+    day = "TIMESTAMP '2024-01-01 10:00:00'"
+    requests = spark.range(40).selectExpr(
+        "concat('r', id) AS id", f"{day} - make_interval(0, 0, 0, 0, cast(id * 12 AS INT)) AS created_at"
+    ).withColumn("created_date", F.to_date("created_at"))
+    predictions = requests.selectExpr("concat('p', id) AS id", "id AS request_id", "created_at + INTERVAL 30 HOURS AS created_at")
+    predictions = predictions.withColumn("created_date", F.to_date("created_at"))
+    paths = [f"{tmp_path}/{name}" for name in ("requests", "predictions")]
+    for df, path in zip((requests, predictions), paths):
+        append_log(df, path)
+    moment = spark.range(1).select(F.expr(day)).first()[0]
+    before = {p.name: p.stat().st_mtime_ns for p in tmp_path.glob("*/created_date=2024-01-01/*.parquet")}
+    removed = retention.cleanup(spark, *paths, moment, days=10)
+    kept = spark.read.parquet(paths[0])
+    assert removed == 40 - kept.count() and kept.agg(F.min("created_at")).first()[0] >= moment - timedelta(days=10)
+    left = spark.read.parquet(paths[1])
+    assert left.count() == kept.count() and quality.orphans(left, kept).count() == 0
+    after = {p.name: p.stat().st_mtime_ns for p in tmp_path.glob("*/created_date=2024-01-01/*.parquet")}
+    assert before and before == after
+    assert not list(tmp_path.glob("requests/created_date=2023-12-15"))
+    assert retention.cleanup(spark, *paths, moment, days=10) == 0
+
+
+def test_months_without_known_outcomes_have_no_accuracy(spark):
+    predictions = spark.createDataFrame([("e1", 0.9, "2024-01-05"), ("e2", 0.1, "2024-02-05")], "employee_id string, attrition_prob double, d string")
+    predictions = predictions.withColumn("created_at", F.col("d").cast("timestamp_ntz"))
+    outcomes = spark.createDataFrame([("e1", True), ("e2", None)], "employee_id string, actual boolean")
+    got = {r["month"]: r["accuracy"] for r in audit.accuracy_over_time(predictions, outcomes).collect()}
+    assert got == {"2024-01": 1.0, "2024-02": None}
