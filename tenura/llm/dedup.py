@@ -20,14 +20,16 @@ SHINGLE = 5
 PERCENT = 75
 TREES = 32
 LEVELS = 4  # parts of the signature that no two trees share
-DEPTH = 8  # parts of a sort key
+DEPTH = 16  # parts of a sort key
 LEAST_DEPTH = 3  # parts that neighbours must share
+KEY_BYTES = LEVELS * 2 + DEPTH - LEVELS  # two bytes for each of the tree's own parts, one for the others
 MINHASHES = TREES * LEVELS
 #: Rounds of candidates: trees, and neighbours looked at on each side of a document.
-ROUNDS = ((1, 1), (4, 2), (TREES, 24))
-#: A pair at the threshold agrees in 96 of 128 parts with a deviation of 4.9; fewer than 64 are 6.5 deviations off.
-LEAST_AGREEING = MINHASHES // 2
+ROUNDS = ((8, 1), (TREES, 4))
+#: A pair at the threshold agrees in 96 of 128 parts with a deviation of 4.9; fewer than 76 are 4.1 deviations off.
+LEAST_AGREEING = 76
 PIECE = 1 << 16
+SLICE_BYTES = 2 << 20
 ID, PRINT, AGAIN = "_chosen_doc_id", "_chosen_print", "_chosen_again"
 WORD = bytewords.word_table([(0x20, 0x20), (0x09, 0x0D)])
 _RANDOM = np.random.default_rng(75)
@@ -38,8 +40,8 @@ PLACES = _RANDOM.integers(0, 1 << 63, SHINGLE, np.uint64) * np.uint64(2) + np.ui
 
 def _orders() -> np.ndarray:
     """For each tree the parts of the signature in its sort order; the first ones are the tree's own."""
-    rest = [np.random.default_rng(tree).permutation(MINHASHES)[: DEPTH - LEVELS] for tree in range(TREES)]
     own = np.arange(MINHASHES).reshape(LEVELS, TREES).T
+    rest = [np.random.default_rng(t).permutation(np.setdiff1d(np.arange(MINHASHES), own[t]))[: DEPTH - LEVELS] for t in range(TREES)]
     return np.concatenate([own, np.array(rest)], axis=1)
 
 
@@ -94,7 +96,7 @@ def _node(sets: list[np.ndarray]) -> list[bytes | None]:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE_BYTES):
         sets = shingle_sets(batch.column("text"))
         full = [s for s in sets if len(s)]
         parts = iter(signatures(full)) if full else iter(())
@@ -117,8 +119,9 @@ def _tree_rows(trees: int) -> Callable:
                 continue
             parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint16).reshape(-1, MINHASHES)
             for tree in range(trees):
-                keys = np.ascontiguousarray(parts[:, ORDERS[tree]].astype(">u2"))
-                key = pa.Array.from_buffers(pa.binary(2 * DEPTH), len(keys), [None, pa.py_buffer(keys)]).cast(pa.binary())
+                own, more = np.ascontiguousarray(parts[:, ORDERS[tree, :LEVELS]].astype(">u2")), parts[:, ORDERS[tree, LEVELS:]].astype(np.uint8)
+                keys = np.concatenate([own.view(np.uint8), more], axis=1)
+                key = pa.Array.from_buffers(pa.binary(KEY_BYTES), len(keys), [None, pa.py_buffer(keys)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(keys), tree, np.int32)), key, *[batch.column(c) for c in ("node", "group", "n_shingles")]],
                     names=["tree", "key", "node", "group", "n_shingles"],
@@ -142,7 +145,7 @@ def _neighbours(rows: pa.Table, reach: int, from_row: int = 0) -> tuple[list[byt
     greater depth than a sparse one. Pairs are left out if both are of one group already, or if one
     set is too small a part of the other.
     """
-    keys = np.frombuffer(b"".join(rows.column("key").to_pylist()), np.uint16).reshape(-1, DEPTH)
+    keys = np.frombuffer(b"".join(rows.column("key").to_pylist()), np.uint8).reshape(-1, KEY_BYTES)[:, : 2 * LEAST_DEPTH]
     tree, size = rows.column("tree").to_numpy(), rows.column("n_shingles").to_numpy()
     group = rows.column("group").combine_chunks().dictionary_encode()
     group = (group.combine_chunks() if isinstance(group, pa.ChunkedArray) else group).indices.to_numpy()
@@ -150,7 +153,7 @@ def _neighbours(rows: pa.Table, reach: int, from_row: int = 0) -> tuple[list[byt
     a, b = [], []
     for off in range(1, min(reach, len(node) - 1) + 1):
         low, high = slice(None, -off), slice(off, None)
-        near = (tree[low] == tree[high]) & (keys[low, :LEAST_DEPTH] == keys[high, :LEAST_DEPTH]).all(axis=1)
+        near = (tree[low] == tree[high]) & (keys[low] == keys[high]).all(axis=1)
         near[: max(0, from_row - off)] = False
         if not near.any():
             break
@@ -238,7 +241,7 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE_BYTES):
         sets = shingle_sets(batch.column("text"))
         right = pa.array([a == b for a, b in zip(_node(sets), batch.column("node").to_pylist())], pa.bool_())
         made = pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.tobytes() for s in sets], pa.large_binary()).cast(pa.binary())], names=["node", "shingles"])
@@ -281,11 +284,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component_id is the least doc_id reachable over links, and kept marks the documents that bear it.
     Documents with equal sets are one node from the start, so copies make no pairs. Nodes are sorted by
     their MinHash signature in 32 orders, and neighbours with a long common prefix are candidates: first
-    the next in one order, then nearer and farther ones in all orders, leaving out pairs that are in one
-    component by then. Candidates are confirmed on whole sets.
+    the next one in 8 orders, then four on each side in all orders, leaving out pairs that are in one
+    component by then. As the nearest in an order share the longest prefixes, a crowd of documents that
+    share much is searched at a greater depth than sparse regions. Candidates whose signatures agree
+    well enough are confirmed on whole sets.
 
-    A pair at the threshold shares a prefix of the least depth in no order with a chance of 5e-8; in a
-    region so crowded that neighbours reach only to depth 5, of 2e-4.
+    A pair at the threshold shares the least prefix in no order with a chance of 2e-8 and fails the
+    comparison of signatures with one of 3e-5. In a crowd of documents that resemble each other almost
+    up to the threshold a link can also be missed because other neighbours stand nearer in all orders.
 
     A null or empty text has no shingles, is linked with nothing and kept. Repeated rows are copies; rows
     that share a doc_id but not the text are separate documents. A null doc_id counts as the greatest id.
@@ -307,10 +313,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found = _confirmed(docs, nodes, materialise(candidates(grouped, trees, reach), "candidates"))
         links = found if links is None else links.union(found)
         roots = components(links)
-    member = rows.select("doc_id", "print", "n_shingles", "node").join(roots, "node", "left")
-    member = member.withColumn("root", F.coalesce("root", "node"))
-    least = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("doc_id").alias("component_id"))
-    named = member.join(least, "root", "left").withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+    linked = nodes.select("node", "doc_id").join(roots, "node")
+    least = linked.groupBy("root").agg(F.min("doc_id").alias("least"))
+    linked = linked.join(least, "root").select("node", "root", "least")
+    # copies of an unlinked text have the least doc_id of their node
+    every = nodes.select("node", F.col("doc_id").alias("own")).join(linked, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNull(), F.col("own")).otherwise(F.col("least")).alias("component_id")
+    )
+    named = rows.select("doc_id", "print", "n_shingles", "node").join(every, "node", "left")
+    named = named.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return named.select("doc_id", "print", "n_shingles", "root", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
