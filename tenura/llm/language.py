@@ -8,7 +8,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -238,13 +238,13 @@ def _cut(limit: int) -> Callable:
 
 
 def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, windows_per_doc: int = WINDOWS_PER_DOC) -> Network | None:
-    """Train on a bounded sample: of each language the documents with the smallest hashes of doc_id, and
-    some windows of each. Held-out documents and null languages take no part. None if nothing is left."""
+    """Train on a bounded sample: of each language about ``docs_per_language`` documents, drawn by the hash
+    of doc_id, and some windows of each. Held-out documents and null languages take no part. None if nothing is left."""
     fit = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    ids = fit.select("lang", "doc_id", F.xxhash64("doc_id").alias("draw")).withColumn("turn", F.row_number().over(order))
-    edge = ids.where(F.col("turn") <= docs_per_language).groupBy("lang").agg(F.max("draw").alias("edge"))
-    texts = fit.join(F.broadcast(edge), "lang").where(F.xxhash64("doc_id") <= F.col("edge")).select("text", "lang")
+    # one rate for each language: a draw below it takes about the wanted number of documents
+    rates = fit.groupBy("lang").agg((F.lit(float(docs_per_language)) / F.count("*")).alias("rate"))
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") / F.lit(float(1 << 53))
+    texts = fit.join(F.broadcast(rates), "lang").where(draw < F.col("rate")).select("text", "lang")
     sample = texts.mapInArrow(_cut(windows_per_doc), "piece binary, lang string")
     limit = docs_per_language * windows_per_doc
     dealt = sample.groupBy("lang").agg(F.count("*").alias("n")).collect()
