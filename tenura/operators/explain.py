@@ -41,11 +41,15 @@ class PathTable:
 
 
 def tree_nodes(spark: SparkSession, model: GBTClassificationModel) -> pd.DataFrame:
-    """Nodes of all trees, from the saved form of the model; as large as the model itself."""
+    """Nodes of all trees, from the saved form of the model; as large as the model itself. Raises for splits
+    by category, whose first category would read as a threshold."""
     path = fresh_path(spark, "trees")
     model.write().save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    if not saved.where("nodeData.leftChild >= 0 and nodeData.split.numCategories >= 0").isEmpty():
+        raise ValueError("splits by category are not supported; encode categories before the trees")
     return (
-        spark.read.parquet(f"{path}/data")
+        saved
         .select(
             F.col("treeID").alias("tree"),
             F.col("nodeData.id").alias("id"),

@@ -19,6 +19,8 @@ from tenura.sources.files import read_metadata
 
 # File names inside a model folder and metric names shown by the model facts.
 PIPELINE, METADATA, REPORT = "pipeline", "feature_metadata.json", "training_report.txt"
+#: What Spark says of a folder that is not there or holds no pipeline; any other error is passed on.
+ABSENT = ("InvalidInputException", "Input path does not exist", "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 SHOWN_METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
 
@@ -38,8 +40,10 @@ class AttritionModel:
             return None
         try:
             return AttritionModel(PipelineModel.load(f"{folder}/{PIPELINE}"), card)
-        except (Py4JJavaError, PySparkException):
-            return None
+        except (Py4JJavaError, PySparkException) as error:
+            if any(sign in str(error) for sign in ABSENT):
+                return None
+            raise
 
     @property
     def encoder(self):

@@ -20,7 +20,7 @@ from tenura.plans.quality_queries import broken
 from tenura.plans.registry import query, rounded
 from tenura.plans.train import report_lines, train
 from tenura.session import fresh_path, materialise
-from tenura.sources.views import view, with_views
+from tenura.sources.views import table, view, with_views
 
 TREES = 10
 # What can be known of a model's results without the model: the records that are scored.
@@ -119,8 +119,8 @@ def gate_rank_fit(spark, folder):
 
 
 @lru_cache(maxsize=8)
-def _trained(app: str, spark, folder: str):
-    """One training run per session and data folder, shared by the queries on its results."""
+def _trained(app: str, spark, folder: str, data: int):
+    """One training run per session, folder and contents of its customers, shared by the queries on its results."""
     target = fresh_path(spark, "model")
     return train(
         valid_employees(spark, folder).drop("c_custkey"), target, key="employee_id", target=TARGET,
@@ -129,7 +129,9 @@ def _trained(app: str, spark, folder: str):
 
 
 def trained(spark, folder):
-    return _trained(spark.sparkContext.applicationId, spark, folder)
+    rows = table(spark, folder, "customer")
+    contents = rows.agg(F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first()[0]
+    return _trained(spark.sparkContext.applicationId, spark, folder, hash(contents))
 
 
 def loaded(spark, folder):
