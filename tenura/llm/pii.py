@@ -41,10 +41,11 @@ PATTERNS = {
     "iso": r"(?<![\d-])\d{4}(?P<iso_sep>[-/.])\d{2}(?P=iso_sep)\d{2}(?![\d-])",
     "date": r"(?<![\d/.-])\d{1,2}(?P<date_sep>[-/.])\d{1,2}(?P=date_sep)\d{4}(?![\d/-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
+    "phone": r"(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    r"|(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
     r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
     r"|(?<![\w.-])\d{3}(?P<phone_sep>[ .-])\d{3}(?P=phone_sep)\d{4}(?![\w-])",
-    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "card": r"(?<![\w.-])(?:\d{13,19}|\d{4}[ -]\d{6}[ -]\d{5}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,4})?)(?![\w-])",
 }
 ANY = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in PATTERNS.items()))
 KINDS = tuple(PATTERNS)
@@ -266,10 +267,11 @@ class Pseudonyms:
                 kind = next(k for k in KINDS if m.group(k) is not None)
                 first, last = m.span("hex") if kind == "secret" else m.span()
                 new = self.make(kind, text[first:last])
-                at = last
                 if new is None:
-                    other = self._other(text, m, kind)
-                    if other is None:
+                    other = self._shorter(text, first, last, kind) or self._other(text, m, kind)
+                    if other is None:  # a value may begin behind the first blank of what was none
+                        blank = BLANK.search(text, m.start() + 1, m.end())
+                        at = blank.start() if blank else m.end()
                         continue
                     kind, first, last, new = other
                 out += [text[done:first], new]
@@ -280,6 +282,14 @@ class Pseudonyms:
         out.append(text[done:])
         return "".join(out), spans
 
+    def _shorter(self, text: str, first: int, last: int, kind: str):
+        """A valid value of the kind that ends at an earlier blank: two values may stand side by side."""
+        for blank in reversed([m.start() for m in BLANK.finditer(text, first, last)]):
+            part = text[first:blank]
+            if SINGLE[kind].fullmatch(part) and (new := self.make(kind, part)) is not None:
+                return kind, first, blank, new
+        return None
+
     def _other(self, text: str, m: re.Match, kind: str):
         """Another kind that also matches at this place and is valid there."""
         for other in KINDS[KINDS.index(kind) + 1 :]:

@@ -361,6 +361,22 @@ def test_far_apart_values_in_a_long_text():
     assert [k for k, _, _ in tool.replace(text)[1]] == ["email", "phone", "card"]
 
 
+@pytest.mark.parametrize(
+    ("text", "kinds"),
+    [
+        ("+1 (826) 555-4081 190.137.223.204", ["phone", "ip"]), ("4111111111111111 27.65.93.188", ["card", "ip"]),
+        ("4111111111111112 27.65.93.188", ["ip"]), ("+44 20 7183 8750 4111 1111 1111 1111", ["phone", "card"]),
+        ("10.0.0.1 10.0.0.2 a@b.example c@d.example", ["ip", "ip", "email", "email"]), ("DE89 3704 0044 0532 0130 00 2001-02-03", ["iban", "iso"]),
+        ("4111111111111111 4111111111111111", ["card", "card"]),
+    ],
+)
+def test_values_side_by_side(text, kinds):
+    new, spans = pii.Pseudonyms(b"k").replace(f"see {text} there")
+    assert [k for k, _, _ in spans] == kinds
+    same = set(text.split()) & set(new.split())
+    assert all(x.startswith("+") or x == "4111111111111112" for x in same)
+
+
 def test_language_edges(spark, docs, empty):
     rows = language.identify(docs).collect()
     assert len(rows) == len(TEXTS)
