@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tenura.llm.arrow import slices
 from tenura.llm.common import materialise, partitions
-from tenura.llm.tokens import encoder, read_spec
+from tenura.llm.tokens import SLICE_BYTES, encoder, read_spec
 
 STEP = 1 << 15
 OVERLAP = 1 << 9
@@ -29,7 +29,7 @@ def _split(sent, step: int, overlap: int) -> Callable:
         key = TaskContext.get().partitionId() << 36
         names = ["doc_id", "n_bytes", "n_tokens", "key", "idx", "begin", "size", "text"]
         kinds = [None, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             kinds[0] = batch.schema.field("doc_id").type
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())
             batch = batch.append_column("n_bytes", sizes)
@@ -74,7 +74,7 @@ def _stable(text: str, low: int, high: int, offsets: np.ndarray) -> tuple[list[i
 def _encode_chunks(sent, step: int, overlap: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(sent.value).library
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             rows = []
             for row in batch.to_pylist():
                 text = row["text"]
@@ -100,7 +100,7 @@ MARKS_ARROW = pa.schema(
 def _count_runs(sent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(sent.value)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             _, counts = tool.encode(batch.column("text"), want_ids=False)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(counts, pa.int64())], names=["key", "n_tokens"])
 

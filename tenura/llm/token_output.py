@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tenura.llm.arrow import slices
 from tenura.llm.common import partitions
-from tenura.llm.tokens import encoder, read_spec
+from tenura.llm.tokens import SLICE_BYTES, encoder, read_spec
 from tenura.session import fresh_path
 
 END_ID = 2
@@ -73,7 +73,7 @@ def _encode(sent, end_id: int) -> Callable:
         seen = np.zeros(max(tool.size, end_id + 1), np.int64)
         names = ["doc_id", "ids", "token", "times"]
         kinds = [pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             flat, counts = tool.encode(batch.column("text"))
             seen += np.bincount(flat, minlength=len(seen))
             seen[end_id] += len(counts)

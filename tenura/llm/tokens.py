@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -14,10 +15,15 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 from tokenizers import Tokenizer  # noqa: E402
 
 SPACE = " "
-KEPT_WORDS = 500_000
+KEPT_WORDS = 750_000
+SLICE_BYTES = 8 << 20
 # The white space of Unicode, and four controls that Python counts with it.
 BLANK = r"[\t-\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 UNSAFE = rf"{BLANK} (?:{BLANK}|\z)"
+#: A word of letters with full stops or commas behind it, and perhaps a line break and such a word again. Its
+#: parts are tokens' borders: letters, other visible characters and white space never share a pre-token.
+_LETTERS = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+"
+STOPPED = re.compile(rf"({_LETTERS})([.,]+)(?:\n({_LETTERS})([.,]*))?")
 
 
 def read_spec(path: str) -> str:
@@ -52,7 +58,8 @@ class Encoder:
     at a space, go to the library whole.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, kept_words: int = KEPT_WORDS):
+        self.limit = kept_words
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
@@ -62,14 +69,22 @@ class Encoder:
         self.opens = np.zeros(self.size, bool)
         for token, number in vocabulary.items():
             self.opens[number] = token.startswith("Ġ")
-        self._forget()
-
-    def _forget(self) -> None:
+        self._forget([])
+
+    def _forget(self, words: list[str]) -> None:
+        """Start anew, but with those of the given words that are known."""
+        kept = [w for w in words if w in self.known] if words else []
+        if kept:
+            entries = np.array([self.known[w] for w in kept])
+            flat, counts = self._gather(entries), self.counts[entries]
         self.known: dict[str, int] = {}
         self.firsts: dict[str, int] = {}
         self.begins, self.counts = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.store, self.used = np.zeros(1 << 16, np.uint32), 0
         self.entries = 0
+        if kept:
+            self._keep(flat, counts)
+            self.known.update(zip(kept, range(len(kept))))
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch(texts, add_special_tokens=False)]
@@ -89,15 +104,22 @@ class Encoder:
         self.entries = need
         return first
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words that follow a space. Those that begin and end visibly go in one text."""
-        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        other = [w for w in words if not w or w[0].isspace() or w[-1].isspace()]
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
+    def _learn(self, words: list[str], plain: list[bool]) -> None:
+        """Encode words that follow a space; ``plain`` ones begin and end visibly.
+
+        Words that are known parts put together (`STOPPED`) are made of them, other plain ones are encoded
+        in one text, whose tokens that begin with a space begin a word.
+        """
+        other = [w for w, ok in zip(words, plain) if not ok]
+        made = [(w, m.groups()) for w, ok in zip(words, plain) if ok and (m := STOPPED.fullmatch(w))]
+        stopped = {w for w, _ in made}
+        bases = {m[0] for _, m in made}.difference(self.known)
+        rest = [*bases.union(w for w, ok in zip(words, plain) if ok and w not in stopped)]
+        for at in range(0, len(rest), 10_000):
+            part = rest[at : at + 10_000]
             flat = np.array(self.library.encode(SPACE + SPACE.join(part), add_special_tokens=False).ids, np.uint32)
             edges = np.flatnonzero(self.opens[flat])
-            if len(edges) != len(part) or (len(edges) and edges[0]):
+            if len(edges) != len(part) or edges[0]:
                 other += part
                 continue
             first = self._keep(flat, np.diff(np.append(edges, len(flat))))
@@ -106,6 +128,23 @@ class Encoder:
             ids = self.whole([SPACE + w for w in other])
             first = self._keep(np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids]))
             self.known.update(zip(other, range(first, first + len(other))))
+        if made:
+            self._learn_firsts({"", "\n", *(x for _, m in made for x in m[1:] if x)})
+            known, firsts = self.known, self.firsts
+            none, line = firsts[""], firsts["\n"]
+            parts = np.array(
+                [(known[a], firsts[b], none if c is None else line, none if c is None else firsts[c], firsts[d] if d else none) for _, (a, b, c, d) in made]
+            )
+            first = self._keep(self._gather(parts.ravel()), self.counts[parts].sum(axis=1))
+            known.update(zip((w for w, _ in made), range(first, first + len(made))))
+
+    def _learn_firsts(self, words: set[str]) -> None:
+        """Encode words that do not follow a space."""
+        new = [w for w in words if w not in self.firsts]
+        if new:
+            ids = self.whole(new)
+            first = self._keep(np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids]))
+            self.firsts.update(zip(new, range(first, first + len(new))))
 
     def _gather(self, entries: np.ndarray) -> np.ndarray:
         counts = self.counts[entries]
@@ -121,8 +160,6 @@ class Encoder:
         if not self.by_words:
             ids = self.whole(texts.to_pylist())
             return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
-        if self.entries > KEPT_WORDS:
-            self._forget()
         unsafe = pc.match_substring_regex(texts, UNSAFE)
         whole = np.flatnonzero(unsafe.to_numpy(zero_copy_only=False))
         parts = pc.split_pattern(pc.if_else(unsafe, "", texts), SPACE)
@@ -132,15 +169,19 @@ class Encoder:
         offsets = offsets - offsets[0]
         codes = coded.indices.to_numpy()
         heads = coded.take(pa.array(offsets[:-1])).to_pylist()
-        missing = [w for w in words if w not in self.known]
+        if self.entries > self.limit:
+            self._forget(words)
+        found = list(map(self.known.get, words))
+        missing = [i for i, x in enumerate(found) if x is None]
         if missing:
-            self._learn(missing)
-        new = [w for w in {*heads} if w not in self.firsts]
-        if new:
-            ids = self.whole(new)
-            first = self._keep(np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids]))
-            self.firsts.update(zip(new, range(first, first + len(new))))
-        entries = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[codes]
+            each = coded.dictionary.take(pa.array(missing))
+            plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(each), each), pc.not_equal(each, ""))
+            new = [words[i] for i in missing]
+            self._learn(new, plain.to_pylist())
+            for i, w in zip(missing, new):
+                found[i] = self.known[w]
+        self._learn_firsts({*heads})
+        entries = np.array(found, np.int64)[codes]
         entries[offsets[:-1]] = [self.firsts[w] for w in heads]
         sums = np.concatenate([[0], np.cumsum(self.counts[entries])])
         counts = sums[offsets[1:]] - sums[offsets[:-1]]
@@ -157,6 +198,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(spec: str) -> Encoder:
+def encoder(spec: str, kept_words: int = KEPT_WORDS) -> Encoder:
     """One encoder per process and file, so that later tasks find the words of earlier ones."""
-    return Encoder(spec)
+    return Encoder(spec, kept_words)
