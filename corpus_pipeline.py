@@ -13,6 +13,8 @@ from tenura.llm.common import table
 from tenura.llm.queries import BYTE_BPE, pii_key
 from tenura.session import fresh_path
 
+#: Fewer than for packing alone: the processes also hold what earlier stages left.
+KEPT_WORDS = 200_000
 #: A language is taken as known from this mean probability on.
 LEAST_SCORE = 0.3
 
@@ -43,7 +45,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of token ids, a row for each piece of a document."""
-    return packing.pack(docs, public_tokenizers.path(BYTE_BPE))
+    return packing.pack(docs, public_tokenizers.path(BYTE_BPE), kept_words=KEPT_WORDS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             last = max(first + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(first, last - first)
             first = last
+    release()
 
 
-def lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """A list column from flat values and the place where each list begins."""
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+def release() -> None:
+    """Give freed memory back to the system: a worker process outlives its task and keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

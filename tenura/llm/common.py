@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tenura.session import materialise, shared_dir
 
-__all__ = ["materialise", "shared_dir", "table", "total", "partitions", "fits", "long_key"]
+__all__ = ["fits", "materialise", "partitions", "shared_dir", "table"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,18 +17,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def total(df: DataFrame, column: str) -> int:
-    return df.agg(F.sum(column)).first()[0] or 0
-
-
 def fits(rows: int, row_bytes: int, limit: int = 32 << 20) -> bool:
     """Whether a side of this counted size may be broadcast; callers shuffle it otherwise."""
     return rows * row_bytes <= limit
-
-
-def long_key(column: str = "doc_id") -> Column:
-    return F.col(column).cast("long").alias(column)
-
-
-def int64(values) -> np.ndarray:
-    return values.to_numpy(zero_copy_only=False)

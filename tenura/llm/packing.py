@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tenura.llm.arrow import slices
-from tenura.llm.tokens import encoder, read_spec
+from tenura.llm.tokens import KEPT_WORDS, SLICE_BYTES, encoder, read_spec
 
 TIERS = (128, 256, 512, 1024)
 END_ID = 0
@@ -112,9 +112,10 @@ def _deal(windows: list[tuple[int, list[Piece]]], step_tokens: int) -> list[int]
     return dealt
 
 
-def _pack(sent, tiers: tuple[int, ...], end_id: int, step_tokens: int) -> Callable:
+def _pack(sent, tiers: tuple[int, ...], end_id: int, step_tokens: int, kept_words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, longest, pool = encoder(sent.value), tiers[-1], Pool(tiers[-1])
+        tool, longest, pool = encoder(sent.value, kept_words), tiers[-1], Pool(tiers[-1])
+        limit = min(SLICE_BYTES, 10 * kept_words)
         kind = None
         made = steps = TaskContext.get().partitionId() << 36
 
@@ -133,7 +134,7 @@ def _pack(sent, tiers: tuple[int, ...], end_id: int, step_tokens: int) -> Callab
             names = ["doc_id", *[x.split()[0] for x in PIECES.split(", ")]]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", limit):
             kind = batch.schema.field("doc_id").type
             flat, counts = tool.encode(batch.column("text"))
             windows, ends = [], np.cumsum(counts)
@@ -155,7 +156,8 @@ def _pack(sent, tiers: tuple[int, ...], end_id: int, step_tokens: int) -> Callab
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, end_id: int = END_ID, step_tokens: int = STEP_TOKENS
+    docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, end_id: int = END_ID, step_tokens: int = STEP_TOKENS,
+    kept_words: int = KEPT_WORDS,
 ) -> DataFrame:
     """Documents cut into pieces and packed in sequences of the tiers' lengths (powers of two).
 
@@ -169,10 +171,11 @@ def pack(
 
     A null or empty text is its end id alone. Repeated rows are packed each; a null doc_id stays null.
     An empty table gives no rows. Other columns are ignored. ``tokenizer`` is the path of a file of the
-    tokenizers library, read on the driver.
+    tokenizers library, read on the driver. ``kept_words`` bounds the words whose ids a process keeps, and so
+    its memory; results do not depend on it.
     """
     if any(t & (t - 1) for t in tiers) or sorted(tiers) != list(tiers):
         raise ValueError("tiers must be ascending powers of two")
     sent = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
     kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {PIECES}"
-    return docs.select("doc_id", "text").mapInArrow(_pack(sent, tiers, end_id, step_tokens), kind)
+    return docs.select("doc_id", "text").mapInArrow(_pack(sent, tiers, end_id, step_tokens, kept_words), kind)

@@ -65,9 +65,8 @@ def test_encoder_equals_the_library(seed):
     assert counts.tolist() == [len(x) for x in want] and flat.tolist() == [i for x in want for i in x]
 
 
-def test_encoder_forgets_and_goes_on(monkeypatch):
-    monkeypatch.setattr(tokens, "KEPT_WORDS", 10)
-    tool = tokens.Encoder(tokens.read_spec(PATH))
+def test_encoder_forgets_and_goes_on():
+    tool = tokens.Encoder(tokens.read_spec(PATH), kept_words=10)
     for seed in range(5):
         text = words(seed, 50)
         assert tool.encode(pa.array([text, None]))[0].tolist() == encoded(text)
