@@ -298,6 +298,21 @@ def test_near_duplicates_in_a_crowd(spark):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in dedup.near_duplicates(df).collect()} == brute_groups(pairs)
 
 
+def test_near_duplicates_in_a_dense_crowd(spark):
+    """Single links in a crowd of 1,200 documents that all but reach the threshold."""
+    base, rng = words(31, 200).split(), random.Random(8)
+    texts = []
+    for i in range(1200):
+        tail = words(9000 + i, 35).split()
+        if i % 40 == 1:
+            tail[:3] = texts[-1].split()[200:203]
+        texts.append(" ".join(base + tail))
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    found = dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i - 1 if i % 40 == 1 else i for i in range(1200)}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (600, 700), (700, 650), (600, 600)]
     rows = components.components(spark.createDataFrame(links, "a long, b long")).collect()
