@@ -313,6 +313,15 @@ def test_near_duplicates_in_a_dense_crowd(spark):
     assert {r.doc_id: r.component_id for r in found} == {i: i - 1 if i % 40 == 1 else i for i in range(1200)}
 
 
+def test_near_duplicates_beside_a_large_group(spark):
+    """Texts that are each linked to one member of a component of 800 close copies."""
+    base = words(41, 200).split()
+    texts = [base + words(20_000 + i, 12).split() for i in range(800)]
+    texts += [texts[20 * i] + words(30_000 + i, 65).split() for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(6)
+    assert {r.component_id for r in dedup.near_duplicates(docs).collect()} == {0}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (600, 700), (700, 650), (600, 600)]
     rows = components.components(spark.createDataFrame(links, "a long, b long")).collect()
