@@ -164,3 +164,27 @@ def test_minmax(spark):
     df = spark.createDataFrame([(-2.0,), (0.0,), (6.0,)], "raw double")
     got = [r["scaled"] for r in metrics.minmax_scores(df, "raw").orderBy("raw").collect()]
     assert got == pytest.approx([0, 0.25, 1])
+
+
+def test_model_queries_are_whole(spark, monkeypatch):
+    """The queries validate the whole palette at full size in five folds."""
+    calls = []
+
+    class Done:
+        def comparison(self):
+            return None
+
+    def record(rows, encoder, classifiers, samplers=None, *, k=5, **options):
+        calls.append((classifiers, k))
+        return Done()
+
+    for name, value in {"cross_validate": record, "labelled": lambda *a: None, "rounded": lambda x: x}.items():
+        monkeypatch.setattr(model_queries, name, value)
+    model_queries.cv_compare_sampling(None, "f")
+    model_queries._evaluated.__wrapped__("app", None, "f", 0)
+    for classifiers, k in calls:
+        assert list(classifiers) == list(models.default_classifiers()) and k == 5
+        built = {n: c.build(10) for n, c in classifiers.items() if n not in ("Dummy(stratified)", "LogReg")}
+        assert built["RandomForest"].getNumTrees() == 300
+        assert [built[n].getMaxIter() for n in ("BoostedTrees", "BoostedTrees_enhanced")] == [300, 200]
+    assert len(calls) == 2
