@@ -27,8 +27,8 @@ KEY_BYTES = LEVELS * 2 + DEPTH - LEVELS  # two bytes for each of the tree's own
 MINHASHES = TREES * LEVELS
 #: Rounds of candidates: trees, and neighbours looked at on each side of a document.
 ROUNDS = ((8, 1), (TREES, 4))
-#: A pair at the threshold agrees in 96 of 128 parts with a deviation of 4.9; fewer than 76 are 4.1 deviations off.
-LEAST_AGREEING = 76
+#: A pair at the threshold agrees in 96 of 128 parts with a deviation of 4.9; fewer than 64 are 6.5 deviations off.
+LEAST_AGREEING = 64
 #: Text from which the order of shingles is learnt, and the bits of a shingle that its count is kept under.
 SAMPLE_BYTES = 16 << 20
 SLOT_BITS = 22
@@ -436,7 +436,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of each set gives every pair of nodes of different components that can be similar enough, however
     crowded. Candidates whose signatures agree well enough are confirmed on whole sets.
 
-    A pair at the threshold fails the comparison of signatures with a chance of 3e-5; no other is missed.
+    A pair at the threshold fails the comparison of signatures with a chance of 3e-10; no other is missed.
 
     A null or empty text has no shingles, is linked with nothing and kept. Repeated rows are copies; rows
     that share a doc_id but not the text are separate documents. A null doc_id counts as the greatest id.

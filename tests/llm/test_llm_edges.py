@@ -322,6 +322,14 @@ def test_near_duplicates_beside_a_large_group(spark):
     assert {r.component_id for r in dedup.near_duplicates(docs).collect()} == {0}
 
 
+def test_pairs_with_few_equal_parts_are_compared():
+    """70 of 128 equal parts are rare for a link, but no reason to leave out the exact comparison."""
+    parts = np.zeros((2, dedup.MINHASHES), np.uint16)
+    parts[1, 70:] = 1
+    batch = pa.RecordBatch.from_pydict({"a": [b"a"], "b": [b"b"], "parts_a": [parts[0].tobytes()], "parts_b": [parts[1].tobytes()]})
+    assert sum(x.num_rows for x in dedup._agree(iter([batch]))) == 1
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (600, 700), (700, 650), (600, 600)]
     rows = components.components(spark.createDataFrame(links, "a long, b long")).collect()
