@@ -31,6 +31,11 @@ IBAN_LENGTHS = {
     "AD": 24, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18,
     "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21,
     "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24,
+    "AE": 23, "AL": 28, "AZ": 28, "BA": 20, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CR": 22, "DJ": 27, "DO": 28, "EG": 29,
+    "FK": 18, "FO": 18, "GE": 22, "GI": 23, "GL": 18, "GT": 28, "HN": 28, "IL": 23, "IQ": 23, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LY": 25, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MU": 30, "NI": 28, "OM": 23, "PK": 24,
+    "PS": 29, "QA": 29, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
 }
 
 PATTERNS = {
@@ -330,11 +335,12 @@ def _apply(key: bytes, with_spans: bool) -> Callable:
 def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
     """The documents, with all their columns, whose text has pseudonyms for personal data.
 
-    Found are e-mail addresses, phone numbers, IPv4 addresses, dates from 1900 to 2099, and card, bank
+    Found are e-mail addresses, phone numbers in international or North American form, IPv4 addresses, dates from 1900 to 2099, and card, bank
     account and US social security numbers that pass their checks, and hexadecimal secrets behind a name
     such as token. A value becomes another of its format, check digits included, by a permutation that
     depends on ``key`` alone: equal values get equal pseudonyms in all documents and different ones
-    different. Numbers that fail their check are left alone.
+    different. Numbers that fail their check are left alone, and so are phone numbers in the domestic form
+    of other countries, such as those with a trunk 0.
 
     A null or empty text stays as it is. Repeated rows are treated alike. An empty table gives no rows.
     """

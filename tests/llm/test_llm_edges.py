@@ -362,6 +362,14 @@ VALUES = [
 ]
 
 
+@pytest.mark.parametrize("value", ["TR330006100519786457841326", "SA0380000000608010167519", "AE07 0331 2345 6789 0123 456",
+                                   "BR1800360305000010009795493C1", "IL620108000000099999999"])
+def test_accounts_outside_europe(value):
+    new = pii._iban(pii.Permutation(b"k"), value)
+    assert new is not None and new != value and new[:2] == value[:2] and len(new) == len(value)
+    assert pii._iban(pii.Permutation(b"k"), value[:-1]) is None
+
+
 @pytest.mark.parametrize(("kind", "value"), VALUES)
 def test_formats(kind, value):
     tool = pii.Pseudonyms(b"k")
