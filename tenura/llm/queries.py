@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import decontaminate, dedup, language, packing, pii, quality, sharding, token_counts, token_output, topk
+from tenura.llm import alignment, decontaminate, dedup, language, packing, pii, quality, sharding, token_counts, token_output, topk
 from tenura.llm.common import table
 from tenura.session import fresh_path
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 #: Session setting with the secret key of the pseudonyms; without it a public one is used.
 KEY_SETTING = "tenura.pii.key"
 
@@ -155,3 +156,8 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op11_cross_tokenizer")
+def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))

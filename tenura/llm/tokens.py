@@ -55,12 +55,14 @@ class Encoder:
 
     For byte-level vocabularies texts are cut at spaces (see `splits_at_spaces`), and a word's ids are
     kept, up to a bounded number of words; all others, and texts where white space meets white space
-    at a space, go to the library whole.
+    at a space, go to the library whole. Strings of special tokens become these tokens, as is the library's
+    default, unless ``plain_specials`` is set.
     """
 
-    def __init__(self, spec: str, kept_words: int = KEPT_WORDS):
+    def __init__(self, spec: str, kept_words: int = KEPT_WORDS, plain_specials: bool = False):
         self.limit = kept_words
         self.library = Tokenizer.from_str(spec)
+        self.library.encode_special_tokens = plain_specials
         self.library.no_truncation()
         self.library.no_padding()
         self.by_words = splits_at_spaces(json.loads(spec))
@@ -198,6 +200,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(spec: str, kept_words: int = KEPT_WORDS) -> Encoder:
-    """One encoder per process and file, so that later tasks find the words of earlier ones."""
-    return Encoder(spec, kept_words)
+def encoder(spec: str, kept_words: int = KEPT_WORDS, plain_specials: bool = False) -> Encoder:
+    """One encoder per process and file, so that later tasks find the words of earlier ones.
+
+    With ``plain_specials`` the strings of special tokens are ordinary text.
+    """
+    return Encoder(spec, kept_words, plain_specials)
