@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import alignment, decontaminate, dedup, language, packing, pii, quality, sharding, token_counts, token_output, topk
+from tenura.llm import alignment, conversations, decontaminate, dedup, language, packing, pii, quality, sharding, token_counts, token_output, topk
 from tenura.llm.common import table
 from tenura.session import fresh_path
 
@@ -161,3 +161,76 @@ def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_cross_tokenizer")
 def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_tokenizers(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
+@query(
+    "op12_conversation_repair",
+    r"""
+    WITH RECURSIVE crc AS (
+      SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS c FROM range(256) r(i))),
+    given AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+    kinds AS (
+      SELECT g.*, xor(list_reduce(list_concat([4294967295], list_transform(range(1, len(k) + 1), lambda i: ascii(k[i]))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM given g, crc),
+    harmed AS (
+      SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS again FROM kinds WHERE kind <> 0),
+    placed AS (
+      SELECT *, row_number() OVER w AS i, lag(role) OVER w AS before,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, again) AS nth,
+        regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS mark FROM harmed
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), again)),
+    faults AS (
+      SELECT *, mark = '' AS blank, mark <> '' AND nth > 1 AS duplicate, mark <> '' AND nth = 1 AND mark NOT IN ('.', '!', '?') AS truncated,
+        before IS NOT NULL AND coalesce(before[1], '') || coalesce(role[1], '') NOT IN ('su', 'ua', 'au') AS illegal FROM placed),
+    facts AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+        count(*) FILTER (illegal) AS illegal FROM faults GROUP BY conv_id),
+    inserts AS (
+      SELECT * FROM (VALUES (0, 0, '', []), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []), (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']),
+        (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']), (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:'])) x(s, t, e, lines)),
+    keeps AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) x(s, c, t)),
+    states AS (SELECT * FROM (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) x(s, made, maker)),
+    best AS (
+      SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS s, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM facts
+      UNION ALL
+      SELECT conv_id, i, s, min(cost), arg_min(audit, printf('%09d', cost) || audit), arg_min(lines, printf('%09d', cost) || audit) FROM (
+        SELECT b.conv_id, f.i, e.t AS s, b.cost + 3 * len(n.e) + e.price AS cost, b.audit || n.e || e.e AS audit,
+          list_concat(list_concat(b.lines, n.lines), e.line) AS lines
+        FROM best b JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1 JOIN inserts n ON n.s = b.s
+        JOIN states w ON w.s = n.t LEFT JOIN keeps k ON k.s = n.t AND k.c = f.role[1],
+        LATERAL (SELECT * FROM (VALUES
+          ('D', n.t, 4, CAST([] AS VARCHAR[])),
+          ('R', CASE WHEN NOT f.blank AND NOT f.duplicate THEN w.made END, CASE WHEN f.truncated THEN 6 ELSE 3 END, [w.maker || ':' || f.text]),
+          ('K', CASE WHEN NOT f.blank AND NOT f.duplicate THEN k.t END, CASE WHEN f.truncated THEN 3 ELSE 0 END, [f.role || ':' || f.text])) x(e, t, price, line)) e
+        WHERE e.t IS NOT NULL) GROUP BY conv_id, i, s),
+    ended AS (
+      SELECT b.conv_id, min(b.cost + 3 * len(n.e)) AS cost, arg_min(b.audit || n.e, printf('%09d', b.cost + 3 * len(n.e)) || b.audit || n.e) AS audit,
+        arg_min(list_concat(b.lines, n.lines), printf('%09d', b.cost + 3 * len(n.e)) || b.audit || n.e) AS lines
+      FROM best b JOIN facts f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.n = b.i JOIN inserts n ON n.s = b.s
+      WHERE n.t IN (0, 3) GROUP BY b.conv_id)
+    SELECT o.conv_id, CAST(coalesce(f.gaps, 0) AS BIGINT) AS gaps, coalesce(f.blank, 0) AS blank, coalesce(f.duplicate, 0) AS duplicate,
+      coalesce(f.truncated, 0) AS truncated, coalesce(f.illegal, 0) AS illegal, CAST(coalesce(e.cost, 0) AS BIGINT) AS cost,
+      coalesce(e.audit, '') AS audit, sha256(coalesce(array_to_string(e.lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+      LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
+)
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    return repaired_conversations(given, conversations.damaged(given))
+
+
+def repaired_conversations(given: DataFrame, rows: DataFrame) -> DataFrame:
+    """Audits and digests of the repaired ``rows`` for every conversation of ``given``."""
+    audits = conversations.audit(rows)
+    done = conversations.digests(conversations.repair(rows, audits)).withColumnRenamed("conv_id", "c")
+    ids = given.select(F.col("conv_id").alias("id")).distinct()
+    joined = ids.join(audits, ids["id"].eqNullSafe(audits["conv_id"]), "left").join(done, ids["id"].eqNullSafe(done["c"]), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", *conversations.COUNTS, "cost")]
+    return joined.select(F.col("id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
