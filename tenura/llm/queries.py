@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import alignment, conversations, decontaminate, dedup, language, packing, pii, quality, sharding, token_counts, token_output, topk
+from tenura.llm import alignment, conversations, decontaminate, dedup, language, packing, pii, quality, sharding, token_counts, token_output, topk, toxicity
 from tenura.llm.common import table
 from tenura.session import fresh_path
 
@@ -182,7 +182,9 @@ def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
     placed AS (
       SELECT *, row_number() OVER w AS i, lag(role) OVER w AS before,
         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, again) AS nth,
-        regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS mark FROM harmed
+        regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS mark FROM harmed
       WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), again)),
     faults AS (
       SELECT *, mark = '' AS blank, mark <> '' AND nth > 1 AS duplicate, mark <> '' AND nth = 1 AND mark NOT IN ('.', '!', '?') AS truncated,
@@ -234,3 +236,8 @@ def repaired_conversations(given: DataFrame, rows: DataFrame) -> DataFrame:
     joined = ids.join(audits, ids["id"].eqNullSafe(audits["conv_id"]), "left").join(done, ids["id"].eqNullSafe(done["c"]), "left")
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", *conversations.COUNTS, "cost")]
     return joined.select(F.col("id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
