@@ -30,6 +30,8 @@ ENHANCED = {
 #: Settings that the boosted trees here have no counterpart for.
 NOT_APPLIED = ("reg_alpha", "reg_lambda", "scale_pos_weight")
 FOREST_TREES = 300
+#: Rows that one task of a fit reads: growing a tree is a row of short jobs, whose tasks must be worth their start.
+ROWS_PER_TASK = 50_000
 LOGISTIC_ITERATIONS = 1000
 
 
@@ -130,9 +132,15 @@ def with_weights(df: DataFrame, counts: dict[int, int], balanced: bool, label: s
     return df.withColumn(WEIGHT, weight)
 
 
+def gathered(df: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows in so many partitions that each task has enough to do; never more than there are."""
+    return df.coalesce(max(1, -(-n // ROWS_PER_TASK)))
+
+
 def fit_classifier(classifier: Classifier, train: DataFrame) -> Model:
     counts = class_counts(train)
-    return classifier.build(sum(counts.values())).fit(with_weights(train, counts, classifier.balanced))
+    n = sum(counts.values())
+    return classifier.build(n).fit(gathered(with_weights(train, counts, classifier.balanced), n))
 
 
 def positive_score(model_output: DataFrame) -> Column:

@@ -33,9 +33,9 @@ class AttritionModel:
         self.version = metadata.select("model_version").first()[0]
 
     @staticmethod
-    def load(spark: SparkSession, folder: str) -> "AttritionModel | None":
+    def load(spark: SparkSession, folder: str, card_name: str = METADATA) -> "AttritionModel | None":
         """The model of a folder; None if a file is missing or unreadable."""
-        card = read_metadata(spark, f"{folder}/{METADATA}")
+        card = read_metadata(spark, f"{folder}/{card_name}")
         if card is None:
             return None
         try:

@@ -18,8 +18,9 @@ from tenura.operators.resample import make_samplers
 from tenura.plans.crossval import cross_validate, threshold_table
 from tenura.plans.quality_queries import broken
 from tenura.plans.registry import query, rounded
-from tenura.plans.train import report_lines, train
-from tenura.session import fresh_path, materialise
+from tenura.plans.train import NAME, prepare, report_lines, scored, stored
+from tenura.session import materialise, shared_dir
+from tenura.sources.model_store import STORE_SETTING, ModelStore
 from tenura.sources.views import table, view, with_views
 
 # What can be known of a model's results without the model: the records that are scored.
@@ -129,26 +130,37 @@ def gate_rank_fit(spark, folder):
 
 
 @lru_cache(maxsize=8)
-def _trained(app: str, spark, folder: str, data: int):
-    """One training run per session, folder and contents of its customers, shared by the queries on its results."""
-    target = fresh_path(spark, "model")
-    return train(
-        valid_employees(spark, folder).drop("c_custkey"), target, key="employee_id", target=TARGET,
-        drop_list=["niveau_hierarchique_poste"],
-    )
+def _job(app: str, spark, folder: str, data: int):
+    return prepare(valid_employees(spark, folder).drop("c_custkey"), key="employee_id", target=TARGET, drop_list=["niveau_hierarchique_poste"])
+
 
+def job(spark, folder):
+    """The training of these tables' employees."""
+    return _job(spark.sparkContext.applicationId, spark, folder, _contents(spark, folder))
 
-def trained(spark, folder):
-    return _trained(spark.sparkContext.applicationId, spark, folder, _contents(spark, folder))
+
+def store(spark):
+    """The model store: the folder of the session setting, else one below the shared folder."""
+    return ModelStore(spark, spark.conf.get(STORE_SETTING, None) or f"{shared_dir(spark)}/models")
 
 
 def loaded(spark, folder):
-    return score.AttritionModel.load(spark, trained(spark, folder).folder)
+    """The stored model of these tables; it is fitted, without validation, only if the store has none."""
+    return store(spark).load(NAME, stored(store(spark), job(spark, folder)))
+
+
+def validated(spark, folder):
+    """The stored model with the means over folds on its card."""
+    return store(spark).load(NAME, scored(store(spark), job(spark, folder))[0])
 
 
 @query("train_flow")
 def train_flow(spark, folder):
-    return rounded(trained(spark, folder).evaluation.summary())
+    """Mean and deviation of each metric over folds, as the card of the stored model has them."""
+    card = validated(spark, folder).metadata.select("performance_cv.*").first().asDict()
+    names = {"pr_auc": "average_precision"}
+    rows = [("None", "BoostedTrees_enhanced", names.get(k[:-5], k[:-5]), v, card[f"{k[:-5]}_std"]) for k, v in card.items() if k.endswith("_mean")]
+    return rounded(spark.createDataFrame(rows, "sampler string, model string, metric string, mean double, std double"))
 
 
 @query("model_metadata")
@@ -163,12 +175,12 @@ def model_metadata(spark, folder):
 
 @query("training_report")
 def training_report(spark, folder):
-    return report_lines(spark, trained(spark, folder).metadata)
+    return report_lines(spark, validated(spark, folder).metadata.first().asDict(recursive=True))
 
 
 @query("model_info")
 def model_info(spark, folder):
-    return score.model_info(loaded(spark, folder), spark)
+    return score.model_info(validated(spark, folder), spark)
 
 
 @query("score_batch")
@@ -206,10 +218,10 @@ def explain_checked(spark, folder):
 
 
 @query("oof_keys", VALID + """
-    SELECT employee_id AS id, 3 AS n_models, true AS in_range FROM valid""")
+    SELECT employee_id AS id, 5 AS n_models, true AS in_range FROM valid""")
 def oof_keys(spark, folder):
-    """Every labelled record gets one score from each of the three models that the SQL counts."""
-    return _keys(oof_scores(spark, folder).where(F.col("model").isin("Dummy(stratified)", "LogReg", "RandomForest")))
+    """Every labelled record gets one score from each model of the palette."""
+    return oof_keys_all(spark, folder)
 
 
 @query("oof_keys_all", VALID + """

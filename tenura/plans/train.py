@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -9,18 +10,30 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.operators.features import FeatureEncoder, make_encoder
-from tenura.operators.models import NOT_APPLIED, ENHANCED, Classifier, boosted, class_counts, with_weights
+from tenura.operators.features import make_encoder
+from tenura.operators.models import NOT_APPLIED, ENHANCED, Classifier, boosted, class_counts, gathered, with_weights
 from tenura.operators.prep import keep_present, map_target, split_feature_types
 from tenura.operators.quality import CATEGORICAL_FEATURES
 from tenura.operators.score import METADATA, PIPELINE, REPORT
 from tenura.plans.crossval import Evaluation, cross_validate
 from tenura.session import materialise
 from tenura.sources.files import write_metadata, write_report
+from tenura.sources.model_store import ModelStore, fingerprint
 
 MODEL_VERSION = "boosted_enhanced_v1.0"
 
 
+NAME = "attrition"
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """A pipeline fitted to all rows, and its card without scores."""
+
+    pipeline: PipelineModel
+    metadata: dict
+
+
 @dataclass(frozen=True)
 class Training:
     pipeline: PipelineModel
@@ -29,6 +42,27 @@ class Training:
     folder: str
 
 
+@dataclass(frozen=True)
+class Job:
+    """What a model is trained on, and how."""
+
+    rows: DataFrame  # id, y and features of rows with a known target
+    cats: list[str]
+    nums: list[str]
+    drop_list: list[str]
+    settings: dict
+    trees: int | None
+    n_features_raw: int
+
+    @property
+    def classifier(self) -> Classifier:
+        return Classifier("BoostedTrees_enhanced", boosted(self.settings, self.trees))
+
+    @property
+    def fingerprint(self) -> str:
+        return fingerprint(self.rows, {"model": MODEL_VERSION, "cats": self.cats, "nums": self.nums, "drop": self.drop_list, "trees": self.trees, **self.settings})
+
+
 def feature_lists(
     df: DataFrame, target: str, drop_list: list[str], keys: list[str], categorical=CATEGORICAL_FEATURES
 ) -> tuple[list[str], list[str]]:
@@ -63,44 +97,37 @@ def report_lines(spark: SparkSession, card: dict) -> DataFrame:
     )
 
 
-def train(
+def prepare(
     df: DataFrame,
-    folder: str,
     *,
     key: str,
     target: str,
     drop_list: list[str],
     settings: dict = ENHANCED,
     trees: int | None = None,
-    k: int = 5,
     n_features_raw: int | None = None,
-) -> Training:
-    """Train on every row with a known target and write all results below ``folder``."""
-    spark = df.sparkSession
+) -> Job:
     labelled = map_target(df, target, "y").withColumn("id", F.col(key).cast("string"))
     rows = materialise(labelled.where(F.col("y").isNotNull()), "training-rows")
     cats, nums = feature_lists(df, target, drop_list, [key])
-    encoder: FeatureEncoder = make_encoder(cats, nums)
-    classifier = Classifier("BoostedTrees_enhanced", boosted(settings, trees))
-    evaluation = cross_validate(rows, encoder, {classifier.name: classifier}, k=k)
+    return Job(rows, cats, nums, drop_list, settings, trees, n_features_raw or len(df.columns) - 2)
+
 
-    counts = class_counts(rows)
+def fit(job: Job) -> Fitted:
+    """Fit encoder and classifier to every row; no cross-validation."""
+    counts = class_counts(job.rows)
     n = sum(counts.values())
-    weighted = with_weights(rows, counts, classifier.balanced)
-    pipeline = Pipeline(stages=[encoder, classifier.build(n)]).fit(weighted)
+    weighted = gathered(with_weights(job.rows, counts, job.classifier.balanced), n)
+    pipeline = Pipeline(stages=[make_encoder(job.cats, job.nums), job.classifier.build(n)]).fit(weighted)
     names = pipeline.stages[0].feature_names()
-
-    performance = {}
-    for row in evaluation.summary().collect():
-        name = "pr_auc" if row["metric"] == "average_precision" else row["metric"]
-        performance |= {f"{name}_mean": row["mean"], f"{name}_std": row["std"]}
-    used = {k: v for k, v in {**settings, "n_estimators": trees or settings["n_estimators"]}.items() if k not in NOT_APPLIED}
+    settings = job.settings
+    used = {k: v for k, v in {**settings, "n_estimators": job.trees or settings["n_estimators"]}.items() if k not in NOT_APPLIED}
     card = {
         "model_version": MODEL_VERSION,
         "training_date": datetime.now(timezone.utc).isoformat(),
         "dataset": {
             "n_samples": n,
-            "n_features_raw": n_features_raw or len(df.columns) - 2,
+            "n_features_raw": job.n_features_raw,
             "n_features_encoded": len(names),
             "class_balance": {
                 "class_0_stayed": counts.get(0, 0),
@@ -109,13 +136,59 @@ def train(
             },
         },
         "features": {
-            "categorical": cats, "numeric": nums, "dropped_correlated": drop_list, "total_input": len(cats) + len(nums),
+            "categorical": job.cats, "numeric": job.nums, "dropped_correlated": job.drop_list, "total_input": len(job.cats) + len(job.nums),
         },
         "hyperparameters": used,
         "hyperparameters_not_applied": {k: v for k, v in settings.items() if k in NOT_APPLIED},
-        "performance_cv": performance,
     }
-    pipeline.write().overwrite().save(f"{folder}/{PIPELINE}")
+    return Fitted(pipeline, card)
+
+
+def validate(job: Job, card: dict, k: int = 5) -> tuple[Evaluation, dict]:
+    """Scores of unseen rows, and the card with their means."""
+    evaluation = cross_validate(job.rows, make_encoder(job.cats, job.nums), {job.classifier.name: job.classifier}, k=k)
+    performance = {}
+    for row in evaluation.summary().collect():
+        name = "pr_auc" if row["metric"] == "average_precision" else row["metric"]
+        performance |= {f"{name}_mean": row["mean"], f"{name}_std": row["std"]}
+    return evaluation, {**card, "performance_cv": performance}
+
+
+def train(df: DataFrame, folder: str, *, k: int = 5, **options) -> Training:
+    """Train on every row with a known target, validate, and write all results below ``folder``.
+
+    The final fit runs beside the folds. Options are those of `prepare`.
+    """
+    spark = df.sparkSession
+    job = prepare(df, **options)
+    with ThreadPoolExecutor(1) as pool:
+        fitted = pool.submit(fit, job)
+        evaluation, scores = validate(job, {}, k)
+        done = fitted.result()
+    card = {**done.metadata, **scores}
+    done.pipeline.write().overwrite().save(f"{folder}/{PIPELINE}")
     write_metadata(card, spark, f"{folder}/{METADATA}")
     write_report(report_lines(spark, card), f"{folder}/{REPORT}")
-    return Training(pipeline, evaluation, card, folder)
+    return Training(done.pipeline, evaluation, card, folder)
+
+
+def stored(store: ModelStore, job: Job) -> str:
+    """Version of this training's model in the store; it is fitted and published only if there is none."""
+    print_ = job.fingerprint
+    known = store.versions(NAME, print_)
+    if known:
+        return known[0]
+    done = fit(job)
+    return store.publish(NAME, print_, done.pipeline, {**done.metadata, "fingerprint": print_})
+
+
+def scored(store: ModelStore, job: Job, k: int = 5) -> tuple[str, DataFrame | None]:
+    """Version of the model with the means over folds on its card, and the summary if it was made now."""
+    version = stored(store, job)
+    if store.is_scored(NAME, version):
+        return version, None
+    spark = store.spark
+    card = store.load(NAME, version).metadata.first().asDict(recursive=True)
+    evaluation, card = validate(job, card, k)
+    store.add_scores(NAME, version, card, report_lines(spark, card))
+    return version, evaluation.summary()

@@ -20,7 +20,7 @@ from test_contracts import GOOD
 
 @pytest.fixture(scope="module")
 def model(spark, folder):
-    return score.AttritionModel.load(spark, model_queries.trained(spark, folder).folder)
+    return model_queries.loaded(spark, folder)
 
 
 def _request(number, employees):
