@@ -151,10 +151,14 @@ def align(tool: Pair, column: pa.Array) -> Aligned:
 
 def _measured(tool: Pair, rows: int, keep: np.ndarray, a: np.ndarray, b: np.ndarray, count_a: np.ndarray, count_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, borders: np.ndarray) -> Aligned:
     """Borders where both tokenizers end a token cut groups; every stretch between two borders of either is one link."""
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    every = np.union1d(ends_a, ends_b)
-    first, second = a[np.searchsorted(ends_a, every)], b[np.searchsorted(ends_b, every)]
-    doc = np.searchsorted(borders, every)
+    size = int(borders[-1]) if len(borders) else 0
+    stops_a, stops_b = np.zeros(size, bool), np.zeros(size, bool)  # whether a token ends with this byte
+    stops_a[ends_a - 1] = stops_b[ends_b - 1] = True
+    every = np.flatnonzero(stops_a | stops_b)
+    first, second = a[_earlier(stops_a[every])], b[_earlier(stops_b[every])]
+    n_links = np.diff(np.searchsorted(every, borders), prepend=0)
+    doc = np.repeat(np.arange(len(borders)), n_links)
+    n_groups = np.diff(np.concatenate([[0], np.cumsum(stops_a & stops_b)])[borders], prepend=0)
 
     def placed(values: np.ndarray) -> np.ndarray:
         full = np.zeros(rows, np.int64)
@@ -165,23 +169,27 @@ def _measured(tool: Pair, rows: int, keep: np.ndarray, a: np.ndarray, b: np.ndar
     key, times = np.unique(doc << bits | first << tool.shift_b | second, return_counts=True)
     owner = np.flatnonzero(keep)[key >> bits] if len(key) else np.zeros(0, np.int64)
     digests = [""] * rows
-    for row, digest in zip(np.flatnonzero(keep).tolist(), _digests(tool, a, b, ends_a, ends_b, common, count_a + count_b)):
+    for row, digest in zip(np.flatnonzero(keep).tolist(), _digests(tool, a, b, stops_b[ends_a - 1], stops_a[ends_b - 1], count_a + count_b)):
         digests[row] = digest
     return Aligned(
-        placed(count_a), placed(count_b), placed(np.diff(np.searchsorted(common, borders, "right"), prepend=0)),
-        placed(np.bincount(doc, minlength=len(borders))), digests, np.searchsorted(owner, np.arange(rows + 1)), key & ((1 << bits) - 1), times,
+        placed(count_a), placed(count_b), placed(n_groups), placed(n_links), digests,
+        np.searchsorted(owner, np.arange(rows + 1)), key & ((1 << bits) - 1), times,
     )
 
 
-def _digests(tool: Pair, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, common: np.ndarray, tokens: np.ndarray) -> Iterator[str]:
-    """SHA-256 of each text's groups, written as ids of A, ids of B, and so on."""
-    group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-    place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a)
-    place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")
+def _earlier(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place."""
+    return np.cumsum(flags) - flags
+
+
+def _digests(tool: Pair, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, tokens: np.ndarray) -> Iterator[str]:
+    """SHA-256 of each text's groups, written as ids of A, ids of B, and so on; the flags mark the last token of a group."""
+    until_a, until_b = (np.append(0, np.flatnonzero(x) + 1) for x in (last_a, last_b))
+    place_a = np.arange(len(a)) + until_b[_earlier(last_a)]
+    place_b = np.arange(len(b)) + until_a[_earlier(last_b) + 1] if len(b) else np.zeros(0, np.int64)
     ids, mark = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
     ids[place_a], ids[place_b] = a, b
-    mark[place_a[np.append(group_a[1:] != group_a[:-1], True)] if len(a) else []] = ord("|")
-    mark[place_b[np.append(group_b[1:] != group_b[:-1], True)] if len(b) else []] = ord(";")
+    mark[place_a[last_a]], mark[place_b[last_b]] = ord("|"), ord(";")
     grid, length = tool.digits[ids], tool.n_digits[ids]
     grid[np.arange(len(ids)), length] = mark
     flat = grid[np.arange(tool.width + 1) <= length[:, None]]
