@@ -483,3 +483,25 @@ def test_estimated_accuracies():
     labels = quality.estimate(quality.unpack(each), count)
     assert abs(labels.prior - 0.8) < 0.02 and np.abs(labels.chances[:, 0, quality.BAD] - found).max() < 0.05
     assert ((labels.posterior(vote) > 0.5) == truth).mean() > 0.99
+
+
+@pytest.mark.parametrize("parts", [1, 4, 32])
+def test_blocks_do_not_depend_on_input_partitions(spark, monkeypatch, parts):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-9, 9, 4).tolist()) for i in range(500)]
+    kept, made = {}, topk.materialise
+
+    def keep(df, label):
+        kept[label] = made(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(topk, "materialise", keep)
+    monkeypatch.setattr(topk, "VECTOR_BLOCK", 100)
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(parts)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(df, "vec_id % 50 = 0", 5).collect()}
+    vectors = np.array([v for _, v in rows])
+    for q in range(0, 500, 50):
+        scores = vectors @ vectors[q]
+        best = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
+        assert [got[q, n + 1] for n in range(5)] == [(i, -s) for s, i in best]
+    assert kept["vectors"].count() <= 2 * 6
