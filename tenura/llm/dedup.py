@@ -29,9 +29,9 @@ MINHASHES = TREES * LEVELS
 ROUNDS = ((8, 1), (TREES, 4))
 #: A pair at the threshold agrees in 96 of 128 parts with a deviation of 4.9; fewer than 64 are 6.5 deviations off.
 LEAST_AGREEING = 64
-#: Text from which the order of shingles is learnt, and the bits of a shingle that its count is kept under.
-SAMPLE_BYTES = 16 << 20
+#: Bits of a shingle that its count is kept under, and of these the ones that name a range of counts.
 SLOT_BITS = 22
+RANGE_BITS = 6
 #: Rows of one shingle that are compared in one task; longer lists are cut, and every two of their parts meet.
 BLOCK = 1024
 FLUSH = 1 << 18
@@ -55,15 +55,19 @@ def _orders() -> np.ndarray:
 ORDERS = _orders()
 
 
+def shingle_hashes(column: pa.Array, size: int = SHINGLE) -> tuple[bytewords.Words, np.ndarray]:
+    """Words of all texts and 64-bit hashes of the runs of ``size`` words that begin at each, also across texts."""
+    words = bytewords.split(*raw(column), WORD)
+    sums = np.zeros(max(0, len(words.hashes) - size + 1), np.uint64)
+    for place in range(size):
+        sums += words.hashes[place : place + len(sums)] * PLACES[place]
+    return words, bytewords.mix(sums)
+
+
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of the runs of ``size`` words of each text; all words, if fewer."""
-    data, offsets = raw(column)
-    words = bytewords.split(data, offsets, WORD)
+    words, sums = shingle_hashes(column, size)
     hashes, first = words.hashes, words.first
-    sums = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
-    for place in range(size):
-        sums += hashes[place : place + len(sums)] * PLACES[place]
-    sums = bytewords.mix(sums)
     sets = []
     for low, high in zip(first[:-1].tolist(), first[1:].tolist()):
         if high - low >= size:
@@ -102,30 +106,44 @@ def _node(sets: list[np.ndarray]) -> list[bytes | None]:
     return [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
 
 
-def _sampled_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often this task meets the shingles of each slot, a row for each range of slots; counts stop at 65,535."""
+    counts = np.zeros(1 << SLOT_BITS, np.uint32)
     for batch in slices(batches, "text", SLICE_BYTES):
-        sets = [s for s in shingle_sets(batch.column("text")) if len(s)]
-        if sets:
-            slots, counts = np.unique(_slots(np.concatenate(sets)), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(counts, pa.int64())], names=["slot", "n"])
+        _, sums = shingle_hashes(batch.column("text"))
+        counts += np.bincount(_slots(sums), minlength=len(counts)).astype(np.uint32)
+    parts = np.minimum(counts, 0xFFFF).astype("<u2").reshape(1 << RANGE_BITS, -1)
+    full = np.flatnonzero(parts.any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([parts[i].tobytes() for i in full], pa.binary())], names=["range", "counts"])
 
 
-def _slots(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+def _added_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each range over all tasks, one after the other, in eighths of powers of two."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for number, counts in zip(batch.column("range").to_pylist(), batch.column("counts")):
+            found = np.frombuffer(counts.as_buffer(), "<u2").astype(np.int64)
+            sums[number] = sums[number] + found if number in sums else found
+    levels = [np.minimum(255, 8 * np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in sums.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], names=["range", "levels"])
 
 
 def _commonness(docs: DataFrame) -> np.ndarray:
-    """For each slot how common its shingles are in a sample of distinct texts, in eighths of powers of two.
+    """For each slot how common its shingles are in all texts, in eighths of powers of two.
 
-    It only orders the shingles of a set: any order gives the same links, this one gives short lists.
+    It only orders the shingles of a set: any order gives the same links, this one gives short lists. A task sends
+    its counts, not shingles: at most 8 MB, however much text it reads.
     """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    marked = docs.select("text", F.xxhash64("text").alias("print")).where(F.pmod("print", F.lit(max(1, -(-size // SAMPLE_BYTES)))) == 0)
-    counts = marked.dropDuplicates(["print"]).select("text").mapInArrow(_sampled_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    found = counts.where("n > 1").toArrow()
-    common = np.zeros(1 << SLOT_BITS, np.uint8)
-    common[found["slot"].to_numpy()] = np.minimum(255, 8 * np.log2(found["n"].to_numpy()))
-    return common
+    ranges = docs.select("text").mapInArrow(_slot_counts, "range int, counts binary").repartition(1 << RANGE_BITS, "range")
+    found = ranges.mapInArrow(_added_counts, "range int, levels binary").toArrow()  # 4 MB at most
+    common = np.zeros((1 << RANGE_BITS, 1 << SLOT_BITS - RANGE_BITS), np.uint8)
+    for number, levels in zip(found["range"].to_pylist(), found["levels"].to_pylist()):
+        common[number] = np.frombuffer(levels, np.uint8)
+    return common.ravel()
 
 
 def prefix(found: np.ndarray, common: np.ndarray) -> np.ndarray:
