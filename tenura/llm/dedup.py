@@ -24,9 +24,12 @@ LEVELS = 4  # parts of the signature that no two trees share
 DEPTH = 16  # parts of a sort key
 LEAST_DEPTH = 3  # parts that neighbours must share
 KEY_BYTES = LEVELS * 2 + DEPTH - LEVELS  # two bytes for each of the tree's own parts, one for the others
+#: Parts of a sort key in which a pair of neighbours must agree; at the threshold 12 of 16 do. What this leaves out is
+#: found in another tree or by the prefix filter.
+LEAST_ALIKE = 10
 MINHASHES = TREES * LEVELS
 #: Rounds of candidates: trees, and neighbours looked at on each side of a document.
-ROUNDS = ((8, 1), (TREES, 4))
+ROUNDS = ((2, 1), (8, 1), (TREES, 4))
 #: A pair at the threshold agrees in 96 of 128 parts with a deviation of 4.9; fewer than 64 are 6.5 deviations off.
 LEAST_AGREEING = 64
 #: Bits of a shingle that its count is kept under, and of these the ones that name a range of counts.
@@ -203,10 +206,11 @@ def _neighbours(rows: pa.Table, reach: int, from_row: int = 0) -> tuple[list[byt
     """Pairs of rows at most ``reach`` apart in sort order that share a prefix of the least depth.
 
     The rows nearest in the order share the longest prefixes, so a crowded region is searched at a
-    greater depth than a sparse one. Pairs are left out if both are of one group already, or if one
-    set is too small a part of the other.
+    greater depth than a sparse one. Pairs are left out if both are of one group already, if one
+    set is too small a part of the other, or if too few parts of their keys agree.
     """
-    keys = np.frombuffer(b"".join(rows.column("key").to_pylist()), np.uint8).reshape(-1, KEY_BYTES)[:, : 2 * LEAST_DEPTH]
+    whole = np.frombuffer(b"".join(rows.column("key").to_pylist()), np.uint8).reshape(-1, KEY_BYTES)
+    keys, rest = np.ascontiguousarray(whole[:, : 2 * LEVELS]).view(np.uint16), whole[:, 2 * LEVELS :]
     tree, size = rows.column("tree").to_numpy(), rows.column("n_shingles").to_numpy()
     group = rows.column("group").combine_chunks().dictionary_encode()
     group = (group.combine_chunks() if isinstance(group, pa.ChunkedArray) else group).indices.to_numpy()
@@ -214,12 +218,14 @@ def _neighbours(rows: pa.Table, reach: int, from_row: int = 0) -> tuple[list[byt
     a, b = [], []
     for off in range(1, min(reach, len(node) - 1) + 1):
         low, high = slice(None, -off), slice(off, None)
-        near = (tree[low] == tree[high]) & (keys[low] == keys[high]).all(axis=1)
+        near = (tree[low] == tree[high]) & (keys[low, :LEAST_DEPTH] == keys[high, :LEAST_DEPTH]).all(axis=1)
         near[: max(0, from_row - off)] = False
         if not near.any():
             break
         near &= (group[low] != group[high]) & (100 * np.minimum(size[low], size[high]) >= PERCENT * np.maximum(size[low], size[high]))
-        at = np.flatnonzero(near).tolist()
+        at = np.flatnonzero(near)
+        alike = (keys[at] == keys[at + off]).sum(axis=1) + (rest[at] == rest[at + off]).sum(axis=1)
+        at = at[alike >= LEAST_ALIKE].tolist()
         a += [min(node[i], node[i + off]) for i in at]
         b += [max(node[i], node[i + off]) for i in at]
     return a, b
@@ -449,7 +455,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component_id is the least doc_id reachable over links, and kept marks the documents that bear it.
     Documents with equal sets are one node from the start, so copies make no pairs. Nodes are sorted by
     their MinHash signature in 32 orders, and neighbours with a long common prefix are candidates: first
-    the next one in 8 orders, then four on each side in all orders, leaving out pairs that are in one
+    the next one in 2 orders and in 8, then four on each side in all orders, leaving out pairs that are in one
     component by then. These rounds only save work: last, an exact prefix filter over the rarest shingles
     of each set gives every pair of nodes of different components that can be similar enough, however
     crowded. Candidates whose signatures agree well enough are confirmed on whole sets.
