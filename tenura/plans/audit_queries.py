@@ -8,7 +8,7 @@ from tenura.functions.risk import decision_columns
 from tenura.operators import audit, quality, retention
 from tenura.plans.registry import query, rounded
 from tenura.session import fresh_path
-from tenura.sources.audit_log import append_log, prediction_rows, request_rows
+from tenura.sources.audit_log import BatchLog, append_log, prediction_rows, request_rows
 from tenura.sources.views import table, view, with_views
 
 P, R = with_views("predictions"), with_views("requests")
@@ -345,6 +345,33 @@ def log_join(spark, folder):
     )
 
 
+@query("log_commit", PR + """
+    , r AS (SELECT id % 4 AS batch, COUNT(*) AS n_requests FROM requests WHERE id % 4 < 2 GROUP BY 1),
+      p AS (SELECT request_id % 4 AS batch, COUNT(*) AS n_predictions FROM predictions WHERE request_id % 4 < 2 GROUP BY 1)
+    SELECT batch, n_requests, n_predictions FROM r JOIN p USING (batch)""")
+def log_commit(spark, folder):
+    """The log written in four batches: two are published, one loses its writer between its tables, one before its commit."""
+    requests, predictions = view(spark, folder, "requests"), view(spark, folder, "predictions")
+    root = fresh_path(spark, "batch-log")
+    log = BatchLog(f"{root}/requests", f"{root}/predictions", f"{root}/commits")
+    year = F.trunc("created_date", "YEAR")
+    for batch in range(4):
+        asked = request_rows(
+            requests.where(F.col("id") % 4 == batch), "/api/v1/predict", F.col("request_data"), F.col("http_status"), F.col("created_at"), F.col("id")
+        ).withColumn("created_date", year)
+        given = prediction_rows(predictions.where(F.col("request_id") % 4 == batch), "v1", F.col("created_at"), [F.col("id")]).withColumn("created_date", year)
+        if batch < 2:
+            log.append(asked, given, "query", batch)
+            continue
+        log.write(given, log.predictions, "query", batch)
+        if batch == 3:
+            log.write(asked, log.requests, "query", batch)
+    requests, predictions = log.published(spark)
+    asked = requests.groupBy(F.col("batch_id").alias("batch")).agg(F.count("*").alias("n_requests"))
+    given = predictions.groupBy(F.col("batch_id").alias("batch")).agg(F.count("*").alias("n_predictions"))
+    return asked.join(given, "batch")
+
+
 @query("risk_bucket", P + """
     SELECT id, attrition_prob >= 0.5 AS will_leave, ROUND(attrition_prob * 100, 2) AS probability_leave,
            ROUND((1 - attrition_prob) * 100, 2) AS probability_stay,

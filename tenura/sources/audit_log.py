@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -85,3 +87,65 @@ def append_log(df: DataFrame, path: str) -> None:
     Rebalancing gathers a day's rows in few files and splits a day that is too large for one task.
     """
     df.hint("rebalance", "created_date").write.mode("append").partitionBy("created_date").parquet(path)
+
+
+@dataclass(frozen=True)
+class BatchLog:
+    """Requests and predictions that are written in batches, each of which becomes visible as a whole.
+
+    Rows lie by day, and inside a day by run and batch. A row of ``commits`` for the run and batch is written last, and
+    `published` shows only batches that have one; so a writer that is lost at any moment leaves nothing that is read,
+    and writing the batch again replaces what it left.
+    """
+
+    requests: str
+    predictions: str
+    commits: str
+
+    def _batch(self, run: str, batch_id: int) -> str:
+        return f"{self.commits}/run={run}/batch_id={batch_id}"
+
+    def withdraw(self, spark: SparkSession, run: str, batch_id: int) -> None:
+        """Take a batch out of sight, before it is written again."""
+        place = spark._jvm.org.apache.hadoop.fs.Path(self._batch(run, batch_id))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    def write(self, df: DataFrame, path: str, run: str, batch_id: int) -> None:
+        """Rows of one batch, replacing what an earlier attempt left in the same days.
+
+        Rebalancing gathers a day's rows in few files.
+        """
+        named = df.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        writer = named.hint("rebalance", "created_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("created_date", "run", "batch_id").parquet(path)
+
+    def publish(self, spark: SparkSession, run: str, batch_id: int) -> None:
+        done = spark.range(1).select(F.current_timestamp().alias("committed_at"))
+        done.coalesce(1).write.mode("overwrite").parquet(self._batch(run, batch_id))
+
+    def append(self, requests: DataFrame, predictions: DataFrame, run: str, batch_id: int) -> None:
+        """Write both tables of a batch, then publish it."""
+        spark = requests.sparkSession
+        self.withdraw(spark, run, batch_id)
+        self.write(predictions, self.predictions, run, batch_id)
+        self.write(requests, self.requests, run, batch_id)
+        self.publish(spark, run, batch_id)
+
+    def batches(self, spark: SparkSession) -> DataFrame:
+        """``run`` and ``batch_id`` of every published batch."""
+        try:
+            return spark.read.parquet(self.commits).select(F.col("run").cast("string"), F.col("batch_id").cast("long")).distinct()
+        except AnalysisException:  # nothing was ever published
+            return spark.createDataFrame([], "run string, batch_id long")
+
+    def published(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+        """Requests and predictions of published batches.
+
+        run and batch_id are folders, so what is not published is skipped without being read where the list of
+        batches is small enough for a broadcast.
+        """
+        done = self.batches(spark)
+        keys = [F.col("run").cast("string").alias("run"), F.col("batch_id").cast("long").alias("batch_id")]
+        tables = (spark.read.parquet(path) for path in (self.requests, self.predictions))
+        requests, predictions = (t.select(*[c for c in t.columns if c not in ("run", "batch_id")], *keys).join(done, ["run", "batch_id"], "left_semi") for t in tables)
+        return requests, predictions

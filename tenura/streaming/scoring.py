@@ -6,14 +6,14 @@ import warnings
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tenura.operators.quality import FEATURES, payload_rules, typed, validate
 from tenura.operators.score import AttritionModel
-from tenura.sources.audit_log import prediction_rows, request_rows, row_id
+from tenura.sources.audit_log import BatchLog, prediction_rows, request_rows, row_id
 from tenura.sources.files import batch_schema, explode_batches
 
 ACCEPTED, REJECTED = 200, 422
@@ -46,6 +46,11 @@ class Sinks:
     def predictions(self) -> str:
         return f"{self.root}/predictions"
 
+    @property
+    def log(self) -> BatchLog:
+        """The log, whose published batches are what readers see."""
+        return BatchLog(self.requests, self.predictions, f"{self.root}/commits")
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -65,15 +70,6 @@ def _write(df: DataFrame, path: str, run: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
 
-def _write_log(df: DataFrame, path: str, run: str, batch_id: int) -> None:
-    """Log rows by day, and inside a day by run and micro-batch, so that look-back filters skip folders and
-    a repeated batch replaces itself. Rebalancing gathers a day's rows in few files."""
-    parts = ["created_date", "run", "batch_id"]
-    named = df.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    writer = named.hint("rebalance", "created_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*parts).parquet(path)
-
-
 def score_batch(requests: DataFrame, batch_id: int, model: AttritionModel, sinks: Sinks, run: str | None = None) -> None:
     """One micro-batch: validate, score, then log.
 
@@ -123,31 +119,26 @@ def score_batch(requests: DataFrame, batch_id: int, model: AttritionModel, sinks
 
 
 def write_log(spark: SparkSession, sinks: Sinks, version: str, run: str, batch_id: int) -> None:
-    """Audit rows of one micro-batch, made from its scores and verdicts; repeating it changes nothing."""
+    """Audit rows of one micro-batch, made from its scores and verdicts and published together; repeating it changes nothing."""
     scored = spark.read.parquet(f"{sinks.scored}/run={run}/batch_id={batch_id}")
     verdicts = spark.read.parquet(f"{sinks.verdicts}/run={run}/batch_id={batch_id}")
     dates = verdicts.select("request_id", F.col("created_at").alias("asked_at"))
     scored = scored.join(dates, "request_id")
     parts = [F.col("request_id"), F.col("position"), F.col("employee_id")]
     predictions = prediction_rows(scored, version, F.col("asked_at"), parts, F.col("features_snapshot"))
-    _write_log(predictions, sinks.predictions, run, batch_id)
     payload = F.to_json(F.struct("employee_count"))
     status = F.when(F.col("ok"), ACCEPTED).otherwise(REJECTED)
     rows = request_rows(
         verdicts, ENDPOINT, payload, status, F.col("created_at"), F.col("request_id"),
         F.col("client_ip"), F.col("user_agent"), F.col("elapsed_ms"),
     )
-    _write_log(rows, sinks.requests, run, batch_id)
+    sinks.log.append(rows, predictions, run, batch_id)
 
 
 def repair_log(spark: SparkSession, sinks: Sinks, version: str) -> int:
-    """Write the log of every scored micro-batch whose requests are not in it; gives their number."""
-    done = spark.read.parquet(sinks.verdicts).select("run", F.col("batch_id").cast("long")).distinct()
-    try:
-        logged = spark.read.parquet(sinks.requests).select("run", F.col("batch_id").cast("long")).distinct()
-        done = done.join(logged, ["run", "batch_id"], "left_anti")
-    except AnalysisException:  # nothing was ever logged
-        pass
+    """Write the log of every scored micro-batch that is not published; gives their number."""
+    done = spark.read.parquet(sinks.verdicts).select(F.col("run").cast("string"), F.col("batch_id").cast("long")).distinct()
+    done = done.join(sinks.log.batches(spark), ["run", "batch_id"], "left_anti")
     missing = done.collect()  # a row for each micro-batch that failed
     for batch in missing:
         write_log(spark, sinks, version, batch["run"], batch["batch_id"])

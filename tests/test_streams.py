@@ -12,7 +12,7 @@ from tenura.operators import audit, quality, retention, score
 from tenura.plans import model_queries, registry
 from tenura.session import fresh_path
 from tenura.sources import files
-from tenura.sources.audit_log import append_log, request_rows
+from tenura.sources.audit_log import BatchLog, append_log, request_rows
 from tenura.sources.views import view
 from tenura.streaming import scoring
 from test_contracts import GOOD
@@ -94,6 +94,41 @@ def test_a_failing_log_does_not_stop_scoring(spark, model, tmp_path):
     assert spark.read.parquet(sinks.predictions).count() == 1 and scoring.repair_log(spark, sinks, model.version) == 0
 
 
+@pytest.mark.parametrize("lost_at", ["requests", "commit"])
+def test_a_lost_writer_leaves_nothing_that_is_read(spark, model, tmp_path, monkeypatch, lost_at):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.json").write_text(_request(1, [{**GOOD, "employee_id": "e1"}]))
+    sinks = scoring.Sinks(f"{tmp_path}/out")
+    batches = files.read_batches(spark, str(source))
+    scoring.score_batch(batches, 0, model, sinks, "run")
+    write, publish = BatchLog.write, BatchLog.publish
+
+    def lose(*_):
+        raise RuntimeError("lost")
+
+    def write_first(log, df, path, run, batch_id):
+        if path == log.requests and lost_at == "requests":
+            lose()
+        write(log, df, path, run, batch_id)
+
+    monkeypatch.setattr(BatchLog, "write", write_first)
+    if lost_at == "commit":
+        monkeypatch.setattr(BatchLog, "publish", lose)
+    with pytest.raises(RuntimeError, match="lost"):
+        scoring.score_batch(batches, 1, model, sinks, "run")
+    assert spark.read.parquet(sinks.predictions).count() == 2  # written, but not published
+    assert [t.count() for t in sinks.log.published(spark)] == [1, 1]
+    with pytest.raises(RuntimeError, match="lost"):  # a published batch that is written again is out of sight until it is whole
+        scoring.score_batch(batches, 0, model, sinks, "run")
+    assert [t.count() for t in sinks.log.published(spark)] == [0, 0]
+    monkeypatch.setattr(BatchLog, "write", write)
+    monkeypatch.setattr(BatchLog, "publish", publish)
+    assert scoring.repair_log(spark, sinks, model.version) == 2
+    assert [t.count() for t in sinks.log.published(spark)] == [2, 2]
+    assert scoring.repair_log(spark, sinks, model.version) == 0
+
+
 def test_every_prediction_of_a_request_has_a_row(spark):
     requests = spark.createDataFrame([(1,), (2,), (3,)], "id long")
     rows = [(f"p{i}", 1 if i < 90 else 2, 0.5, "LOW") for i in range(100)]
