@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.operators.prep import keep_present, split_feature_types
@@ -16,6 +16,7 @@ from tenura.session import materialise
 
 PAIRS_PER_PASS = 64
 SCHEMA = "col_i string, col_j string, abs_corr double"
+PAIR = ["i", "j"]
 
 
 def _pearson(a: str, b: str) -> Column:
@@ -49,31 +50,37 @@ def _union(df: DataFrame, parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _counted_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Distinct value pairs with their number, written once; all later work is on these."""
-    x, y = F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
-    known = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    return materialise(known.groupBy(x, y).agg(F.count("*").alias("w")), "value-pairs")
+def _counted_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(i, j, x, y, w)``: how many rows hold x in column i and y in column j, both known, for all i < j.
 
+    One pass for all pairs, written once; all later work is on these counts.
+    """
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+    first = values.select(F.posexplode("v").alias("i", "x"), "v").where(F.col("x").isNotNull())
+    later = F.slice("v", F.col("i") + 2, len(columns))
+    both = first.select("i", "x", F.posexplode(later).alias("k", "y")).where(F.col("y").isNotNull())
+    j = (F.col("i") + F.col("k") + 1).alias("j")
+    return materialise(both.groupBy("i", j, "x", "y").agg(F.count("*").alias("w")), "value-pairs")
 
-def _average_ranks(pairs: DataFrame, side: str) -> DataFrame:
-    counts = pairs.groupBy(side).agg(F.sum("w").alias("c"))
-    placed = running_totals(counts, side, ["c"])
-    return placed.select(side, (F.col("cum_c") - (F.col("c") - 1) / F.lit(2)).alias(f"rank_{side}"))
 
+def _centred_ranks(pairs: DataFrame, side: str) -> DataFrame:
+    """Average rank of every value among the rows of its pair of columns, less the mean rank."""
+    counts = pairs.groupBy(*PAIR, side).agg(F.sum("w").alias("c"))
+    placed = running_totals(counts, side, ["c"], groups=PAIR)
+    rank = F.col("cum_c") - (F.col("c") - 1) / F.lit(2)
+    return placed.select(*PAIR, side, (rank - (F.col("all_c") + 1) / F.lit(2)).alias(f"rank_{side}"))
 
-def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Correlation of average ranks over rows where both are known."""
-    pairs = _counted_pairs(df, a, b)
-    ranked = pairs.join(_average_ranks(pairs, "x"), "x").join(_average_ranks(pairs, "y"), "y")
-    middle = pairs.agg((F.sum("w") + 1) / F.lit(2)).scalar()
-    centred = ranked.select(
-        "w", (F.col("rank_x") - middle).alias("u"), (F.col("rank_y") - middle).alias("v")
-    )
+
+def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(i, j, corr)``: correlation of average ranks over the rows where both columns are known.
+
+    The number of jobs does not depend on the number of columns.
+    """
+    pairs = _counted_pairs(df, columns)
+    ranked = pairs.join(_centred_ranks(pairs, "x"), [*PAIR, "x"]).join(_centred_ranks(pairs, "y"), [*PAIR, "y"])
     product = lambda p, q: F.sum(F.col("w") * F.col(p) * F.col(q))
-    return centred.agg(
-        F.try_divide(product("u", "v"), F.sqrt(product("u", "u")) * F.sqrt(product("v", "v"))).alias("corr")
-    )
+    spread = F.sqrt(product("rank_x", "rank_x")) * F.sqrt(product("rank_y", "rank_y"))
+    return ranked.groupBy(*PAIR).agg(F.try_divide(product("rank_x", "rank_y"), spread).alias("corr"))
 
 
 def _discordant_weight(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
@@ -98,64 +105,81 @@ def _discordant_weight(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     return total
 
 
-def _strip_discordance(key: list[str], pdf: pd.DataFrame) -> pd.DataFrame:
+def _strip_discordance(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     found = _discordant_weight(pdf["p"].to_numpy(), pdf["q"].to_numpy(), pdf["w"].to_numpy())
-    return pd.DataFrame({"d": [found]})
+    return pd.DataFrame({"i": [key[0]], "j": [key[1]], "d": [found]})
+
+
+def _far_discordance(cells: DataFrame, y_buckets: int) -> DataFrame:
+    """``(i, j, d)``: discordant weight of the cells that differ in both buckets.
+
+    The axis of y is halved again and again: two y buckets are told apart at the highest bit in which they
+    differ.  At each bit, an earlier x bucket with the bit is discordant with a later one without it.  Sums by
+    x bucket come first, so a window holds at most one row for each x bucket.
+    """
+    bits = F.explode(F.sequence(F.lit(0), F.lit(max(0, y_buckets.bit_length() - 1)))).alias("bit")
+    levels = cells.groupBy(*PAIR, "bx", "by").agg(F.sum("w").cast("double").alias("w")).select("*", bits)
+    has_bit = F.expr("(shiftright(by, bit) & 1) = 1")
+    sides = levels.groupBy(*PAIR, "bit", F.expr("shiftright(by, bit + 1)").alias("block"), "bx").agg(
+        F.sum(F.when(has_bit, F.col("w")).otherwise(0.0)).alias("with_bit"),
+        F.sum(F.when(has_bit, 0.0).otherwise(F.col("w"))).alias("without"),
+    )
+    earlier = Window.partitionBy(*PAIR, "bit", "block").orderBy("bx").rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.coalesce(F.sum("with_bit").over(earlier), F.lit(0.0))
+    return sides.select(*PAIR, (F.col("without") * seen).alias("d")).groupBy(*PAIR).agg(F.sum("d").alias("d"))
 
 
-def kendall(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Kendall's tau-b over rows where both are known, exact for any number of rows.
+def kendall_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(i, j, corr)``: Kendall's tau-b over the rows where both columns are known, exact for any number of rows.
 
-    Both axes are cut into buckets.  Pairs that differ in both buckets are counted from the
-    table of bucket counts; pairs inside one x bucket, and pairs of different x buckets inside
-    one y bucket, are counted strip by strip.  A strip holds a bounded share of the distinct
-    value pairs: a value heavy enough to fill a bucket is alone in it and then has no
-    discordant pair there, so its strip is left out.
+    Both axes are cut into buckets, for all pairs of columns at once.  Pairs that differ in both buckets are
+    counted from the bucket counts; pairs inside one x bucket, and pairs of different x buckets inside one y
+    bucket, are counted strip by strip.  A strip holds a bounded share of the distinct value pairs: a value heavy
+    enough to fill a bucket is alone in it and then has no discordant pair there, so its strip is left out.
     """
-    pairs = _counted_pairs(df, a, b)
+    pairs = _counted_pairs(df, columns)
     n_pairs = pairs.count()
     (sx, heavy_x), (sy, heavy_y) = value_cuts(pairs, "x", n_pairs), value_cuts(pairs, "y", n_pairs)
     cells = pairs.withColumn("bx", bucket_of(F.col("x"), sx)).withColumn("by", bucket_of(F.col("y"), sy))
 
     inside_x = cells.where(~F.col("x").isin(sorted(heavy_x))) if heavy_x else cells
     inside_y = cells.where(~F.col("y").isin(sorted(heavy_y))) if heavy_y else cells
-    strips = inside_x.select(F.lit("x").alias("axis"), F.col("bx").alias("strip"), F.col("x").alias("p"),
+    strips = inside_x.select(*PAIR, F.lit("x").alias("axis"), F.col("bx").alias("strip"), F.col("x").alias("p"),
                              F.col("y").alias("q"), "w").unionByName(
-        inside_y.select(F.lit("y").alias("axis"), F.col("by").alias("strip"),
+        inside_y.select(*PAIR, F.lit("y").alias("axis"), F.col("by").alias("strip"),
                         F.col("bx").cast("double").alias("p"), F.col("y").alias("q"), "w")
     )
-    near = strips.groupBy("axis", "strip").applyInPandas(_strip_discordance, "d double")
-
-    # Cells with a smaller x bucket and a larger y bucket: running totals along both axes.
-    table = cells.groupBy("bx", "by").agg(F.sum("w").cast("double").alias("w")).toPandas()
-    grid = np.zeros((len(sx) + 1, len(sy) + 1))
-    grid[table["bx"], table["by"]] = table["w"]
-    above = np.cumsum(grid[:, ::-1], axis=1)[:, ::-1] - grid
-    left_above = np.cumsum(above, axis=0) - above
-    far = float(np.sum(grid * left_above))
+    near = strips.groupBy(*PAIR, "axis", "strip").applyInPandas(_strip_discordance, "i int, j int, d double")
+    discordant = near.unionByName(_far_discordance(cells, len(sy))).groupBy(*PAIR).agg(F.sum("d").alias("d"))
 
     tied = lambda c: F.sum(F.col(c) * (F.col(c) - 1.0)) / 2
-    ties = lambda s: pairs.groupBy(s).agg(F.sum("w").cast("double").alias("c")).agg(tied("c")).scalar()
-    parts = near.agg((F.coalesce(F.sum("d"), F.lit(0.0)) + far).alias("d")).select(
-        "d", ties("x").alias("n1"), ties("y").alias("n2"), pairs.agg(tied("w")).scalar().alias("n3"),
-        pairs.agg(F.sum("w").cast("double")).scalar().alias("n"),
-    )
+
+    def ties(side: str, name: str) -> DataFrame:
+        counts = pairs.groupBy(*PAIR, side).agg(F.sum("w").cast("double").alias("c"))
+        return counts.groupBy(*PAIR).agg(tied("c").alias(name))
+
+    totals = pairs.groupBy(*PAIR).agg(tied("w").alias("n3"), F.sum("w").cast("double").alias("n"))
+    parts = totals.join(ties("x", "n1"), PAIR).join(ties("y", "n2"), PAIR).join(discordant, PAIR, "left")
+    d = F.coalesce("d", F.lit(0.0))
     n0 = F.col("n") * (F.col("n") - 1) / 2
-    concordant = n0 - F.col("n1") - F.col("n2") + F.col("n3") - F.col("d")
+    concordant = n0 - F.col("n1") - F.col("n2") + F.col("n3") - d
     spread = F.sqrt(n0 - F.col("n1")) * F.sqrt(n0 - F.col("n2"))
-    return parts.select(F.try_divide(concordant - F.col("d"), spread).alias("corr"))
+    return parts.select(*PAIR, F.try_divide(concordant - d, spread).alias("corr"))
+
+
+RANKED = {"spearman": spearman_pairs, "kendall": kendall_pairs}
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """``(col_i, col_j, abs_corr)`` for every pair, each once, columns in the given order."""
-    if method == "pearson":
+    columns = list(columns)
+    if method == "pearson" or len(columns) < 2:
         return pearson_pairs(df, columns)
-    one = {"spearman": spearman, "kendall": kendall}[method]
-    parts = [
-        one(df, a, b).select(F.lit(a).alias("col_i"), F.lit(b).alias("col_j"), F.abs("corr").alias("abs_corr"))
-        for a, b in combinations(columns, 2)
-    ]
-    return _union(df, parts)
+    names = [(i, j, columns[i], columns[j]) for i, j in combinations(range(len(columns)), 2)]
+    # One row for each pair of columns; a pair that is never known together has no correlation.
+    named = df.sparkSession.createDataFrame(names, "i int, j int, col_i string, col_j string")
+    found = RANKED[method](df, columns)
+    return named.join(found, PAIR, "left").select("col_i", "col_j", F.abs("corr").alias("abs_corr"))
 
 
 def mean_abs_correlation(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -137,9 +137,46 @@ def test_kendall_and_spearman(spark, monkeypatch, seed, rows_per_bucket):
     monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", rows_per_bucket)
     pdf = _pairs(seed)
     df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "x double, y double")
-    assert correlation.kendall(df, "x", "y").first()[0] == pytest.approx(_tau(pdf), abs=1e-12)
+    assert correlation.kendall_pairs(df, ["x", "y"]).first()["corr"] == pytest.approx(_tau(pdf), abs=1e-12)
     ranks = pdf.dropna().rank()
-    assert correlation.spearman(df, "x", "y").first()[0] == pytest.approx(ranks.corr().iloc[0, 1], abs=1e-12)
+    rho = correlation.spearman_pairs(df, ["x", "y"]).first()["corr"]
+    assert rho == pytest.approx(ranks.corr().iloc[0, 1], abs=1e-12)
+
+
+@pytest.mark.parametrize("method", ["spearman", "kendall"])
+def test_all_rank_correlations_at_once(spark, monkeypatch, method):
+    """Four columns of different scale, hot values and nulls; one is constant, one never known with another."""
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 40)
+    monkeypatch.setattr(ranking, "MAX_BUCKETS", 64)
+    pdf = _pairs(3)
+    pdf["z"] = np.where(np.arange(400) % 3 == 0, 1000.0 * pdf["x"] - pdf["y"], 7.0)
+    pdf["same"] = 1.0
+    pdf["apart"] = np.where(pdf["x"].isna(), np.arange(400.0), np.nan)
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"{c} double" for c in pdf))
+    got = {(r[0], r[1]): r[2] for r in correlation.correlation_pairs(df, list(pdf), method).collect()}
+    assert len(got) == 10
+    for (a, b), value in got.items():
+        known = pdf[[a, b]].dropna()
+        if len(known) < 2 or known.nunique().min() < 2:
+            assert value is None
+        else:
+            known.columns = ["x", "y"]
+            want = _tau(known) if method == "kendall" else known.rank().corr().iloc[0, 1]
+            assert value == pytest.approx(abs(want), abs=1e-12)
+
+
+def _jobs(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_do_not_grow_with_pairs(spark):
+    df = spark.range(200).selectExpr(*[f"double((id * {p}) % 23) AS c{p}" for p in (3, 5, 7, 11, 13)])
+    jobs = lambda n: _jobs(
+        spark, f"pairs-{n}", lambda: correlation.correlation_pairs(df, df.columns[:n], "spearman").collect())
+    assert jobs(5) <= jobs(2) + 2
 
 
 def test_constant_column_has_no_correlation(spark):
