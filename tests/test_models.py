@@ -150,7 +150,7 @@ def test_contributions_against_all_coalitions(spark):
     model = GBTClassifier(labelCol="y", maxIter=3, maxDepth=4, seed=1).fit(df)
     nodes = explain.tree_nodes(spark, model)
     tables, _ = explain.leaf_paths(nodes, model.treeWeights)
-    got = explain.contributions(x[:20], tables)
+    got = explain.contributions(x[:20], explain.path_blocks(tables, 4))
     trees = [{r.id: r for r in part.itertuples()} for _, part in nodes.groupby("tree")]
     for i in range(20):
         value = lambda s: sum(w * _expected(t, 0, x[i], s) for w, t in zip(model.treeWeights, trees))  # noqa: B023, E731
@@ -163,6 +163,37 @@ def test_contributions_against_all_coalitions(spark):
             assert got[i, f] == pytest.approx(want, abs=1e-10)
 
 
+def test_deep_trees_are_explained(spark):
+    """Paths of up to twelve features: the values add up to the output and equal the sums over all coalitions."""
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(3000, 14)), 2)
+    y = (np.prod(np.sign(x[:, :3]), axis=1) + x[:, 3:12].sum(axis=1) / 3 + rng.normal(size=3000) > 0).astype(int)
+    df = spark.createDataFrame([(int(t), [float(v) for v in r]) for t, r in zip(y, x)], "y int, x array<double>")
+    df = df.select("y", array_to_vector("x").alias("features"))
+    model = GBTClassifier(labelCol="y", maxIter=2, maxDepth=12, seed=1).fit(df)
+    nodes = explain.tree_nodes(spark, model)
+    tables, base = explain.leaf_paths(nodes, model.treeWeights)
+    assert max(t.feature.shape[1] for t in tables) >= 9
+    got = explain.contributions(x[:200], explain.path_blocks(tables, 14))
+    trees = [{r.id: r for r in part.itertuples()} for _, part in nodes.groupby("tree")]
+    for i in range(200):
+        output = sum(w * _expected(t, 0, x[i], set(range(14))) for w, t in zip(model.treeWeights, trees))
+        assert got[i].sum() + base == pytest.approx(output, abs=1e-10)
+    longest = max(tables, key=lambda t: t.feature.shape[1])
+    m = longest.feature.shape[1]
+    one = explain.PathTable(*(a[:1] for a in (longest.feature, longest.low, longest.high, longest.share, longest.value)))
+    holds = (x[7, one.feature[0]] > one.low[0]) & (x[7, one.feature[0]] <= one.high[0])
+    want = np.zeros(14)
+    for f in range(m):
+        others = [g for g in range(m) if g != f]
+        for n in range(m):
+            for s in combinations(others, n):
+                rest = np.prod([float(holds[g]) if g in s else one.share[0, g] for g in others])
+                size = factorial(n) * factorial(m - 1 - n) / factorial(m)
+                want[one.feature[0, f]] += size * rest * (holds[f] - one.share[0, f]) * one.value[0]
+    assert explain.contributions(x[7:8], explain.path_blocks([one], 14))[0] == pytest.approx(want, rel=1e-9, abs=1e-14)
+
+
 def test_minmax(spark):
     df = spark.createDataFrame([(-2.0,), (0.0,), (6.0,)], "raw double")
     got = [r["scaled"] for r in metrics.minmax_scores(df, "raw").orderBy("raw").collect()]
