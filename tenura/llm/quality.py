@@ -231,8 +231,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     edge = docs.select(draw.alias("draw")).orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
     if edge is None:
         return Model(labels, Scorer(np.zeros(BUCKETS + SHAPES), 0.0))
-    chosen = docs.where(draw <= edge).select("doc_id", "text").limit(sample)
-    rows = chosen.mapInArrow(_sample, "pattern long, feature array<int>, value array<float>").toArrow()
+    # Texts are read where they lie; only their features, at most one for each bucket and shape, meet.
+    chosen = docs.where(draw <= edge).select("text")
+    rows = chosen.mapInArrow(_sample, "pattern long, feature array<int>, value array<float>").limit(sample).toArrow()
     rows = rows.take(pa.array(np.lexsort((np.array([len(x) for x in rows.column("feature")]), rows.column("pattern").to_numpy()))))
     pairs = list(zip(rows.column("feature").to_numpy(), rows.column("value").to_numpy()))
     return Model(labels, fit(pairs, labels.posterior(unpack(rows.column("pattern").to_numpy()))))
