@@ -8,18 +8,21 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from tenura.operators import metrics, models, quality, score
 from tenura.operators.features import make_encoder
-from tenura.operators.gate import gate_rank_predict, gate_rank_scores
+from tenura.operators.gate import GATE_CUT, TOP_NEG, TOP_POS
+from tenura.operators.gate_rank import GateRank
 from tenura.operators.prep import TARGET, map_target
+from tenura.operators.ranking import running_totals
 from tenura.operators.resample import make_samplers
 from tenura.plans.crossval import cross_validate, threshold_table
 from tenura.plans.quality_queries import broken
 from tenura.plans.registry import query, rounded
 from tenura.plans.train import NAME, prepare, report_lines, scored, stored
-from tenura.session import materialise, shared_dir
+from tenura.session import fresh_path, materialise, shared_dir
 from tenura.sources.model_store import STORE_SETTING, ModelStore
 from tenura.sources.views import table, view, with_views
 
@@ -121,12 +124,44 @@ def threshold_metrics_cv(spark, folder):
     return rounded(threshold_table(labelled(spark, folder), make_encoder(**ENCODER), chosen))
 
 
+@lru_cache(maxsize=8)
+def _gated(app: str, spark, folder: str, data: int) -> str:
+    """Folder of the fitted encoder, gate and rankers of these tables; one fit per session and contents."""
+    path = fresh_path(spark, "gate-rank-model")
+    Pipeline(stages=[make_encoder(**ENCODER), GateRank()]).fit(labelled(spark, folder)).save(path)
+    return path
+
+
+def gated(spark, folder):
+    """All labelled records with the ranks and predictions of the saved two-sided ranking."""
+    path = _gated(spark.sparkContext.applicationId, spark, folder, _contents(spark, folder))
+    return PipelineModel.load(path).transform(labelled(spark, folder))
+
+
 @query("gate_rank_fit")
 def gate_rank_fit(spark, folder):
-    rows = _encoded(spark, folder)
-    scores = materialise(models.GateRank().fit(rows).scores(rows, ["id", "y"]), "gate-scores")
-    fused = gate_rank_scores(gate_rank_predict(scores, "id").drop("side"))
-    return rounded(fused.select("id", "y", "gate", "side", "fused", "prediction"))
+    return rounded(gated(spark, folder).select("id", "y", "gate", "side", "fused", F.col("prediction").cast("int").alias("prediction")))
+
+
+@query("gate_rank_checked", VALID + """
+    SELECT employee_id AS id, true AS side_fits, true AS fused_fits, true AS rank_fits, true AS prediction_fits FROM valid""")
+def gate_rank_checked(spark, folder):
+    """Every record's side, score, rank and prediction follow from the scores of the saved parts.
+
+    A rank fits if it lies between the counts of better and of not worse scores of the side.
+    """
+    rows = materialise(gated(spark, folder).select("id", "gate", "pos_score", "neg_score", "side", "rank", "fused", "prediction"), "gated")
+    per_score = rows.groupBy("side", F.col("fused").alias("value")).agg(F.count("*").alias("n"))
+    upto = running_totals(per_score, "value", ["n"], ["side"], descending=True)
+    own = F.when(F.col("gate") >= GATE_CUT, F.col("pos_score")).otherwise(F.col("neg_score"))
+    share = F.when(F.col("side") == 1, TOP_POS).otherwise(TOP_NEG)
+    placed = rows.join(upto.withColumnsRenamed({"value": "fused"}), ["side", "fused"], "left")
+    return placed.select(
+        "id", (F.col("side") == (F.col("gate") >= GATE_CUT).cast("int")).alias("side_fits"),
+        (F.col("fused") == own).alias("fused_fits"),
+        F.coalesce(F.col("rank").between(F.col("cum_n") - F.col("n") + 1, F.col("cum_n")), F.lit(False)).alias("rank_fits"),
+        (F.col("prediction") == (F.col("rank") <= F.floor(share * F.col("all_n"))).cast("double")).alias("prediction_fits"),
+    )
 
 
 @lru_cache(maxsize=8)

@@ -5,12 +5,13 @@ from math import factorial
 
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tenura.operators import explain, features, metrics, models, quality, score
+from tenura.operators.gate_rank import GateRank
 from tenura.operators.prep import TARGET, MissingColumns
 from tenura.plans import crossval, model_queries, train
 from tenura.session import fresh_path
@@ -69,14 +70,42 @@ def test_models_beat_guessing(people):
     assert one.select("id").distinct().count() == people.count()
 
 
-def test_gate_rank_saved(spark, people):
-    rows = features.make_encoder(**ENCODER).fit(people).transform(people).select("id", "y", "features")
-    model = models.GateRank(trees=3).fit(rows)
+def test_gate_rank_in_a_pipeline(spark, people):
+    """Fitted, saved and read as a stage; ranks and predictions follow from its own scores."""
+    steps = [features.make_encoder(**ENCODER), GateRank(trees=3, topPos=0.5, cut=0.4)]
+    model = Pipeline(stages=steps).fit(people)
     path = fresh_path(spark, "gate")
     model.save(path)
-    a, b = model.scores(rows, ["id"]), models.GateRankModel.load(path).scores(rows, ["id"])
-    assert a.columns == ["id", "gate", "pos_score", "neg_score"]
-    assert a.exceptAll(b).count() == 0
+    # Clashing columns are replaced, others stay.
+    odd = people.withColumn("gate", F.lit("x")).withColumn("prediction", F.lit(7.0)).withColumn("rank", F.lit(0))
+    wanted = ["id", "y", "gate", "pos_score", "neg_score", "side", "rank", "fused", "prediction"]
+    a = model.transform(people).select(*wanted)
+    b = PipelineModel.load(path).transform(odd).select(*wanted)
+    assert a.exceptAll(b).count() == 0 and b.count() == people.count()
+    rows = a.toPandas()
+    assert (rows["side"] == (rows["gate"] >= 0.4)).all()
+    own = np.where(rows["side"] == 1, rows["pos_score"], rows["neg_score"])
+    assert np.allclose(rows["fused"], own)
+    for side, share in ((1, 0.5), (0, 0.10)):
+        mine = rows[rows["side"] == side].sort_values("rank")
+        assert list(mine["rank"]) == list(range(1, len(mine) + 1))
+        assert mine["fused"].is_monotonic_decreasing
+        assert list(mine["prediction"]) == [1.0] * int(share * len(mine)) + [0.0] * (len(mine) - int(share * len(mine)))
+
+
+def test_gate_rank_of_no_rows(spark, people):
+    model = Pipeline(stages=[features.make_encoder(**ENCODER), GateRank(trees=2)]).fit(people)
+    done = model.transform(people.limit(0))
+    assert done.count() == 0 and {"fused", "prediction", "rank"} <= set(done.columns)
+
+
+def test_gate_rank_among_classifiers(people):
+    """It is validated like any classifier, by its fused score."""
+    chosen = {"GateRank": models.Classifier("GateRank", lambda _: GateRank(trees=4))}
+    found = crossval.cross_validate(people, features.make_encoder(**ENCODER), chosen, k=2)
+    assert found.scores.count() == people.count()
+    assert found.scores.where(~F.col("score").between(0, 1)).count() == 0
+    assert found.comparison().first()["average_precision"] > people.agg(F.avg("y")).first()[0]
 
 
 def test_training_writes_everything(spark, run):

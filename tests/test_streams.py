@@ -14,7 +14,8 @@ from tenura.session import fresh_path
 from tenura.sources import files
 from tenura.sources.audit_log import BatchLog, append_log, request_rows
 from tenura.sources.views import view
-from tenura.streaming import scoring
+from tenura.streaming import scoring, volume
+from tenura.streaming.replay import replay
 from test_contracts import GOOD
 
 
@@ -214,3 +215,44 @@ def test_months_without_known_outcomes_have_no_accuracy(spark):
     outcomes = spark.createDataFrame([("e1", True), ("e2", None)], "employee_id string, actual boolean")
     got = {r["month"]: r["accuracy"] for r in audit.accuracy_over_time(predictions, outcomes).collect()}
     assert got == {"2024-01": 1.0, "2024-02": None}
+
+
+def _deliveries(spark, rows):
+    return spark.createDataFrame(rows, "n int, created_at string, request_id string")
+
+
+def _days(found):
+    return {str(r["date"]): r[1] for r in found.collect()}
+
+
+def test_late_rows_are_kept_until_their_day_is_closed(spark):
+    rows = _deliveries(spark, [
+        (1, "2024-01-01 08:00:00", "a"), (1, "2024-01-02 10:00:00", "b"),
+        # The watermark is 1 January, 10:00: the first is still open.
+        (2, "2024-01-01 09:00:00", "c"), (2, "2024-01-03 23:00:00", "d"),
+        # It is 2 January, 23:00 now: the first is closed, the second is not.
+        (3, "2024-01-01 09:30:00", "e"), (3, "2024-01-02 11:00:00", "f"), (3, "2024-01-05 12:00:00", "g"),
+        # 4 January, 12:00: late by days; and rows without a time or delivery.
+        (4, "2024-01-03 12:00:00", "h"), (4, "2024-01-04 13:00:00", "i"), (4, None, "j"), (None, "2024-01-04 13:00:00", "k"),
+        (5, "2024-01-09 00:00:00", "l"),
+    ])
+    found = replay(rows, F.col("n"), volume.daily_volume)
+    assert _days(found) == {"2024-01-01": 2, "2024-01-02": 2, "2024-01-03": 1, "2024-01-04": 1, "2024-01-05": 1}
+
+
+def test_repeats_are_counted_once_across_deliveries(spark):
+    rows = _deliveries(spark, [
+        (1, "2024-01-01 08:00:00", "a"), (1, "2024-01-01 08:00:00", "a"), (1, "2024-01-01 20:00:00", "b"),
+        (2, "2024-01-01 08:00:00", "a"), (2, "2024-01-02 07:00:00", "a"), (2, "2024-01-02 08:00:00", "c"),
+        (3, "2024-01-02 08:00:00", "c"), (3, "2024-01-06 00:00:00", "z"),
+        (4, "2024-01-09 00:00:00", "y"),
+    ])
+    found = replay(rows, F.col("n"), volume.daily_requests)
+    assert _days(found) == {"2024-01-01": 2, "2024-01-02": 2, "2024-01-06": 1}
+
+
+def test_replay_does_not_depend_on_files(spark):
+    rows = _deliveries(spark, [(d, f"2024-01-{1 + (d * 3 + i) % 20:02d} 06:00:00", str(i)) for d in range(4) for i in range(30)])
+    one, many = (replay(rows.repartition(n), F.col("n"), volume.daily_volume) for n in (1, 7))
+    assert _days(one) == _days(many) != {}
+    assert _days(replay(rows.limit(0), F.col("n"), volume.daily_volume)) == {}
