@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,8 @@ BLANK = r"[\t-\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{20
 UNSAFE = rf"{BLANK} (?:{BLANK}|\z)"
 #: A word of letters with full stops or commas behind it, and perhaps a line break and such a word again. Its
 #: parts are tokens' borders: letters, other visible characters and white space never share a pre-token.
-_LETTERS = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+"
-STOPPED = re.compile(rf"({_LETTERS})([.,]+)(?:\n({_LETTERS})([.,]*))?")
+_LETTERS = r"[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+"
+STOPPED = rf"\A(?P<word>{_LETTERS})(?P<stops>[.,]+)(?:\n(?P<next>{_LETTERS})(?P<ends>[.,]*))?\z"
 
 
 def read_spec(path: str) -> str:
@@ -50,6 +50,14 @@ def splits_at_spaces(spec: dict) -> bool:
     )
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _numbers(places: dict[str, int], words: list[str]) -> np.ndarray:
+    return np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+
+
 class Encoder:
     """Ids of many texts by the tokenizers library.
 
@@ -89,7 +97,7 @@ class Encoder:
             self.known.update(zip(kept, range(len(kept))))
 
     def whole(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _keep(self, flat: np.ndarray, counts: np.ndarray) -> int:
         """Store runs of ids; returns the entry of the first."""
@@ -106,20 +114,23 @@ class Encoder:
         self.entries = need
         return first
 
-    def _learn(self, words: list[str], plain: list[bool]) -> None:
-        """Encode words that follow a space; ``plain`` ones begin and end visibly.
+    def _learn(self, each: pa.Array) -> None:
+        """Encode words that follow a space.
 
-        Words that are known parts put together (`STOPPED`) are made of them, other plain ones are encoded
-        in one text, whose tokens that begin with a space begin a word.
+        Words that are known parts put together (`STOPPED`) are made of them; others that begin and end visibly
+        are encoded in one text, whose tokens that begin with a space begin a word.
         """
-        other = [w for w, ok in zip(words, plain) if not ok]
-        made = [(w, m.groups()) for w, ok in zip(words, plain) if ok and (m := STOPPED.fullmatch(w))]
-        stopped = {w for w, _ in made}
-        bases = {m[0] for _, m in made}.difference(self.known)
-        rest = [*bases.union(w for w, ok in zip(words, plain) if ok and w not in stopped)]
+        plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(each), each), pc.not_equal(each, ""))
+        parts = pc.extract_regex(each, STOPPED)
+        stopped = pc.and_(plain, parts.is_valid())
+        made = _strings(each.filter(stopped))
+        word, stops, next_, ends = (parts.filter(stopped).field(i).dictionary_encode() for i in range(4))
+        bases = _strings(word.dictionary)
+        rest = [*dict.fromkeys([w for w in bases if w not in self.known] + _strings(each.filter(pc.and_not(plain, stopped))))]
+        other = _strings(each.filter(pc.invert(plain)))
         for at in range(0, len(rest), 10_000):
             part = rest[at : at + 10_000]
-            flat = np.array(self.library.encode(SPACE + SPACE.join(part), add_special_tokens=False).ids, np.uint32)
+            flat = np.array(self.whole([SPACE + SPACE.join(part)])[0], np.uint32)
             edges = np.flatnonzero(self.opens[flat])
             if len(edges) != len(part) or edges[0]:
                 other += part
@@ -131,14 +142,16 @@ class Encoder:
             first = self._keep(np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids]))
             self.known.update(zip(other, range(first, first + len(other))))
         if made:
-            self._learn_firsts({"", "\n", *(x for _, m in made for x in m[1:] if x)})
-            known, firsts = self.known, self.firsts
-            none, line = firsts[""], firsts["\n"]
-            parts = np.array(
-                [(known[a], firsts[b], none if c is None else line, none if c is None else firsts[c], firsts[d] if d else none) for _, (a, b, c, d) in made]
-            )
-            first = self._keep(self._gather(parts.ravel()), self.counts[parts].sum(axis=1))
-            known.update(zip((w for w, _ in made), range(first, first + len(made))))
+            tails = [_strings(x.dictionary) for x in (stops, next_, ends)]
+            self._learn_firsts({"", "\n", *(w for words in tails for w in words)})
+            heads = _numbers(self.known, bases)[word.indices.to_numpy()]
+            behind = [_numbers(self.firsts, words)[x.indices.to_numpy()] for words, x in zip(tails, (stops, next_, ends))]
+            # an empty word has no ids, nor has the line break before it
+            none, line = self.firsts[""], self.firsts["\n"]
+            lines = np.where(behind[1] == none, none, line)
+            entries = np.stack([heads, behind[0], lines, *behind[1:]], axis=1)
+            first = self._keep(self._gather(entries.ravel()), self.counts[entries].sum(axis=1))
+            self.known.update(zip(made, range(first, first + len(made))))
 
     def _learn_firsts(self, words: set[str]) -> None:
         """Encode words that do not follow a space."""
@@ -167,23 +180,19 @@ class Encoder:
         parts = pc.split_pattern(pc.if_else(unsafe, "", texts), SPACE)
         offsets = np.asarray(parts.offsets)
         coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = _strings(coded.dictionary)
         offsets = offsets - offsets[0]
         codes = coded.indices.to_numpy()
-        heads = coded.take(pa.array(offsets[:-1])).to_pylist()
+        heads = _strings(coded.take(pa.array(offsets[:-1])).cast(pa.large_string()))
         if self.entries > self.limit:
             self._forget(words)
-        found = list(map(self.known.get, words))
-        missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            each = coded.dictionary.take(pa.array(missing))
-            plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(each), each), pc.not_equal(each, ""))
-            new = [words[i] for i in missing]
-            self._learn(new, plain.to_pylist())
-            for i, w in zip(missing, new):
-                found[i] = self.known[w]
+        found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            self._learn(coded.dictionary.take(pa.array(missing)))
+            found[missing] = _numbers(self.known, [words[i] for i in missing.tolist()])
         self._learn_firsts({*heads})
-        entries = np.array(found, np.int64)[codes]
+        entries = found[codes]
         entries[offsets[:-1]] = [self.firsts[w] for w in heads]
         sums = np.concatenate([[0], np.cumsum(self.counts[entries])])
         counts = sums[offsets[1:]] - sums[offsets[:-1]]
