@@ -21,6 +21,20 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def binaries(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Binary values that hold so many numbers of ``flat`` each, end to end."""
+    offsets = (np.concatenate([[0], np.cumsum(counts)]) * flat.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
+def numbers(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in binary values without nulls, end to end, and how many each holds."""
+    values = column.cast(pa.large_binary())
+    offsets = np.frombuffer(values.buffers()[1], np.int64, count=values.offset + len(values) + 1)[values.offset :]
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data.view(kind), np.diff(offsets) // np.dtype(kind).itemsize
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in runs of at most ``limit`` bytes of ``column``; a longer value comes alone."""
     for batch in batches:

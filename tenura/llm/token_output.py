@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.arrow import slices
+from tenura.llm.arrow import binaries, numbers, slices
 from tenura.llm.common import partitions
 from tenura.llm.tokens import SLICE_BYTES, encoder, read_spec
 from tenura.session import fresh_path
@@ -32,15 +32,18 @@ BLOCKS_ARROW = pa.schema(
 LENGTHS = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)], np.int64)
 
 
-def code(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of one document's ranks."""
-    ranks = ranks.astype(np.uint32)
+def code(ranks: np.ndarray, counts: np.ndarray | None = None) -> tuple[bytes, bytes]:
+    """Control bytes and data bytes of documents with so many ranks each; of one document if none are named."""
+    counts = np.array([len(ranks)]) if counts is None else counts
+    ranks = ranks.astype("<u4")
     extra = (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[: len(ranks)] = extra
+    room = -(-counts // 4) * 4
+    shifts = np.cumsum(room) - room - (np.cumsum(counts) - counts)
+    padded = np.zeros(int(room.sum()), np.uint8)
+    padded[np.arange(len(ranks)) + np.repeat(shifts, counts)] = extra
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
     width = int(extra.max(initial=0)) + 1
-    grid = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]
+    grid = ranks.view(np.uint8).reshape(-1, 4)[:, :width]
     return control.tobytes(), grid[np.arange(width) <= extra[:, None]].tobytes()
 
 
@@ -77,11 +80,9 @@ def _encode(sent, end_id: int) -> Callable:
             flat, counts = tool.encode(batch.column("text"))
             seen += np.bincount(flat, minlength=len(seen))
             seen[end_id] += len(counts)
-            flat, ends = flat.astype(kind), np.cumsum(counts)
-            last = np.array([end_id], kind).tobytes()
-            ids = [flat[e - n : e].tobytes() + last for e, n in zip(ends.tolist(), counts.tolist())]
+            ids = binaries(np.insert(flat.astype(kind), np.cumsum(counts), end_id), counts + 1)
             none = [pa.nulls(len(ids), k) for k in kinds[2:]]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(ids, pa.binary()), *none], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), ids, *none], names=names)
         token = np.flatnonzero(seen)
         if len(token):
             columns = [[None], [None], [token.tolist()], [seen[token].tolist()]]
@@ -98,19 +99,18 @@ def _write(ranks, kind: str) -> Callable:
 
         def block() -> pa.RecordBatch:
             row = {
-                "part": part, "before": before, "doc_ids": [h[0] for h in held], "counts": [h[1] for h in held],
-                "control": b"".join(h[2] for h in held), "data": b"".join(h[3] for h in held),
+                "part": part, "before": before, "doc_ids": [d for h in held for d in h[0]],
+                "counts": [n for h in held for n in h[1]], "control": b"".join(h[2] for h in held), "data": b"".join(h[3] for h in held),
             }
             return pa.RecordBatch.from_pylist([row], schema=BLOCKS_ARROW)
 
-        for batch in batches:
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-                numbers = np.frombuffer(ids, kind)
-                held.append((doc, len(numbers), *code(rank_of[numbers])))
-                size += len(numbers)
-                if size >= BLOCK_IDS:
-                    yield block()
-                    before, size, held = before + size, 0, []
+        for batch in slices(batches, "ids", BLOCK_IDS * np.dtype(kind).itemsize):
+            flat, counts = numbers(batch.column("ids"), kind)
+            held.append((batch.column("doc_id").to_pylist(), counts.tolist(), *code(rank_of[flat], counts)))
+            size += len(flat)
+            if size >= BLOCK_IDS:
+                yield block()
+                before, size, held = before + size, 0, []
         if held:
             yield block()
 
@@ -169,7 +169,7 @@ def _read(tokens) -> Callable:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(row["doc_ids"][step:to], pa.int64()), pa.array(starts[step:to]), pa.array(counts[step:to]),
-                            pa.array([flat[e - n : e].tobytes() for e, n in zip(ends[step:to].tolist(), counts[step:to].tolist())], pa.binary()),
+                            binaries(flat[ends[step] - counts[step] : ends[to - 1]], counts[step:to]),
                         ],
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )

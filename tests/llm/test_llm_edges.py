@@ -113,6 +113,8 @@ def test_coding_round_trip():
     runs = [rng.integers(0, 1 << bits, size) for bits, size in ((4, 1), (8, 7), (16, 100), (24, 5), (31, 33), (1, 0))]
     coded = [token_output.code(x) for x in runs]
     counts = np.array([len(x) for x in runs])
+    # many documents at once give the same bytes
+    assert token_output.code(np.concatenate(runs), counts) == tuple(b"".join(x) for x in zip(*coded))
     back = token_output.decode(b"".join(c for c, _ in coded), b"".join(d for _, d in coded), counts)
     assert back.tolist() == np.concatenate(runs).tolist()
     with pytest.raises(ValueError):
