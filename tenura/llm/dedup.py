@@ -142,7 +142,7 @@ def _commonness(docs: DataFrame) -> np.ndarray:
     its counts, not shingles: at most 8 MB, however much text it reads.
     """
     ranges = docs.select("text").mapInArrow(_slot_counts, "range int, counts binary").repartition(1 << RANGE_BITS, "range")
-    found = ranges.mapInArrow(_added_counts, "range int, levels binary").toArrow()  # 4 MB at most
+    found = materialise(ranges.mapInArrow(_added_counts, "range int, levels binary"), "levels").toArrow()  # 4 MB at most
     common = np.zeros((1 << RANGE_BITS, 1 << SLOT_BITS - RANGE_BITS), np.uint8)
     for number, levels in zip(found["range"].to_pylist(), found["levels"].to_pylist()):
         common[number] = np.frombuffer(levels, np.uint8)
