@@ -288,7 +288,7 @@ def candidates(nodes: DataFrame, trees: int, reach: int) -> DataFrame:
     whole key is cut by node. Neighbours on either side of a cut meet in a small second step.
     """
     spark = nodes.sparkSession
-    rows = nodes.select("node", "parts", "group", "n_shingles").mapInArrow(
+    rows = nodes.select("node", "parts", F.coalesce("group", "node").alias("group"), "n_shingles").mapInArrow(
         _tree_rows(trees), "tree int, key binary, node binary, `group` binary, n_shingles long"
     )
     keys = ["tree", "key", "node"]
@@ -300,14 +300,18 @@ def candidates(nodes: DataFrame, trees: int, reach: int) -> DataFrame:
 
 
 INDEX = "shingle long, short long, group long, size long, place long"
+#: Zeros, as most nodes have no link and their rows are sent: a name would not compress.
+NO_GROUP = bytes(8)
 
 
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each shingle of a prefix; ``short`` and ``group`` are the first 8 bytes of these names."""
+    """A row for each shingle of a prefix; ``short`` and ``group`` are the first 8 bytes of these names, 0 for no group."""
     for batch in slices(batches, "prefix", SLICE_BYTES // 4):
         held = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("prefix")]
         counts = [len(x) for x in held]
-        short, group = (np.frombuffer(b"".join(x[:8] for x in batch.column(c).to_pylist()), ">i8").astype(np.int64) for c in ("node", "group"))
+        short, group = (
+            np.frombuffer(b"".join((x or NO_GROUP)[:8] for x in batch.column(c).to_pylist()), ">i8").astype(np.int64) for c in ("node", "group")
+        )
         size = batch.column("n_shingles").to_numpy()
         yield pa.RecordBatch.from_arrays(
             [
@@ -333,7 +337,7 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 j = i + off
                 one, other = c["size"][i], c["size"][j]
                 room = np.minimum(one - c["place"][i], other - c["place"][j])
-                near = (c["group"][i] != c["group"][j]) & ((c["low"][i] == c["high"][i]) | (c["own"][i] != c["own"][j]))
+                near = ((c["group"][i] != c["group"][j]) | (c["group"][i] == 0)) & ((c["low"][i] == c["high"][i]) | (c["own"][i] != c["own"][j]))
                 near &= (100 * np.minimum(one, other) >= PERCENT * np.maximum(one, other)) & ((100 + PERCENT) * room >= PERCENT * (one + other))
                 both = np.stack([c["short"][i[near]], c["short"][j[near]]])
                 found.append(np.sort(both, axis=0))
@@ -448,6 +452,14 @@ def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
     return materialise(full.select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a binary, b binary"), "links")
 
 
+def _grouped(nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Nodes with the root of their component as ``group``, null without a link. Few links leave the nodes where they lie."""
+    if roots is None:
+        return nodes.withColumn("group", F.lit(None).cast("binary"))
+    side = F.broadcast(roots) if fits(roots.count(), 64) else roots
+    return nodes.join(side, "node", "left").withColumnRenamed("root", "group")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, print (hash of the text), n_shingles, root (names the component), component_id, kept.
 
@@ -475,11 +487,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = materialise(nodes, "nodes")
     links, roots = None, None
     for search in (*[partial(candidates, trees=trees, reach=reach) for trees, reach in ROUNDS], rest_of_pairs):
-        if roots is None:
-            grouped = nodes.withColumn("group", F.col("node"))
-        else:
-            grouped = nodes.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
-        found = _confirmed(docs, nodes, materialise(search(grouped), "candidates"))
+        found = _confirmed(docs, nodes, materialise(search(_grouped(nodes, roots)), "candidates"))
         links = found if links is None else links.union(found)
         roots = components(links)
     linked = nodes.select("node", "doc_id").join(roots, "node")

@@ -2,7 +2,9 @@
 
 import os
 import time
+from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,3 +55,23 @@ def test_counts_of_shingles_are_not_kept_as_shuffles(spark, docs):
     held = []
     assert left_by(spark, lambda: held.append(dedup._commonness(docs))) < 20_000
     assert (held[0] > 0).sum() > 0
+
+
+def test_nodes_without_links_have_no_group_and_stay_where_they_lie(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BLOCK", 2)  # lists are cut, too
+    names = [bytes([i]) * 16 for i in range(1, 7)]
+    prefix = np.arange(5, dtype=np.int64).tobytes()
+    nodes = materialise(spark.createDataFrame([(n, 17, prefix) for n in names], "node binary, n_shingles long, prefix binary"), "nodes")
+    roots = materialise(spark.createDataFrame([(n, names[0]) for n in names[:3]], "node binary, root binary"), "roots")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        grouped = dedup._grouped(nodes, roots)
+        assert "hashpartitioning" not in grouped._jdf.queryExecution().executedPlan().toString()
+        assert {bytes(r.node): r.group for r in grouped.collect()} == {n: names[0] if n in names[:3] else None for n in names}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    found = {(bytes(r.a), bytes(r.b)) for r in dedup.rest_of_pairs(grouped).collect()}
+    assert found == {p for p in combinations(names, 2) if p[1] not in names[:3]}
+    every = {(bytes(r.a), bytes(r.b)) for r in dedup.rest_of_pairs(dedup._grouped(nodes, None)).collect()}
+    assert every == set(combinations(names, 2))
