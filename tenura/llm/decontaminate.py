@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm import bytewords
-from tenura.llm.arrow import raw, slices
+from tenura.llm.arrow import SLICE_BYTES, raw, slices
 
 WINDOW = 10
 BENCHMARK_BYTES = 16 << 20
+#: Bytes of text in a shard, for any index up to this size: a shard's arrays take many times its text.
+SHARD_BYTES = 1 << 20
 WORD = bytewords.word_table([(0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)])
 WORD[ord("A") : ord("Z") + 1] = True  # these become a-z
 FOLD = np.arange(256, dtype=np.uint8)
@@ -85,6 +87,11 @@ class Matches(NamedTuple):
     place: np.ndarray  # its first word in the shard
 
 
+def shard_bytes(tests: Tests) -> int:
+    """Bytes of text to search at once. All windows are looked up in every shard, so shards grow with a large index."""
+    return min(SLICE_BYTES, max(SHARD_BYTES, tests.keys.nbytes))
+
+
 def search(column: pa.Array, tests: Tests) -> Matches:
     """Occurrences of all test windows in one shard of documents.
 
@@ -185,7 +192,7 @@ def _as_structs(rows: list[list[tuple]], kind: pa.DataType) -> pa.Array:
 def _match(sent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = sent.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", shard_bytes(tests)):
             found, rows = search(batch.column("text"), tests), batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
@@ -266,7 +273,7 @@ def _unite(runs):
 def _clean(sent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = sent.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", shard_bytes(tests)):
             found = search(batch.column("text"), tests)
             keep = np.ones(batch.num_rows, bool)
             keep[np.searchsorted(found.words.first, found.place, "right") - 1] = False

@@ -1,12 +1,17 @@
 """The pipeline, stage by stage, against brute force on its own input."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from test_llm_edges import brute_contamination, brute_groups
+from tenura.llm import common, decontaminate
 from tenura.llm.queries import BYTE_BPE
 
 
@@ -67,3 +72,34 @@ def test_registered():
     import __spark_entry__
 
     assert __spark_entry__.queries().keys() >= {"pipeline", "op1_topk"}
+
+
+def test_stages_send_rows_in_small_batches(spark, stages):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+
+    rows = spark.range(4000, numPartitions=1).select(F.repeat(F.lit("word "), 1000).alias("text"))  # 20 MB
+    assert max(r.size for r in rows.mapInArrow(sizes, "size long").collect()) <= 1.5 * common.BATCH_BYTES
+
+
+def test_own_batch_size_is_kept(spark, folder):
+    before = spark.conf.get(common.BATCH_SETTING)
+    try:
+        spark.conf.set(common.BATCH_SETTING, "12345")
+        common.bound_batches(spark)
+        assert spark.conf.get(common.BATCH_SETTING).startswith("12345")
+    finally:
+        spark.conf.set(common.BATCH_SETTING, before)
+
+
+def test_shards_of_a_small_benchmark_are_small(monkeypatch):
+    passage = "one two three four five six seven eight nine ten"
+    tests = decontaminate.read_tests(pa.table({"item_id": [1], "text": [passage]}))
+    seen, search = [], decontaminate.search
+    monkeypatch.setattr(decontaminate, "search", lambda column, tests: seen.append(column.nbytes) or search(column, tests))
+    texts = ["other words " * 8000] * 40  # 4 MB
+    texts[7] += passage
+    docs = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": texts})
+    kept = [d for b in decontaminate._clean(SimpleNamespace(value=tests))([docs]) for d in b.column("doc_id").to_pylist()]
+    assert kept == [d for d in range(40) if d != 7] and max(seen) <= 1.1 * decontaminate.SHARD_BYTES
