@@ -29,7 +29,17 @@ BLOCKS_ARROW = pa.schema(
      ("control", pa.binary()), ("data", pa.binary())]
 )
 #: Lengths of the four ids that a control byte describes.
-LENGTHS = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)], np.int64)
+LENGTHS = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)], np.uint8)
+
+
+def _used(counts: np.ndarray) -> np.ndarray:
+    """Which slots of the control bytes hold an id: all but at most three behind each document."""
+    room = -(-counts // 4) * 4
+    ends, spare = np.cumsum(room), room - counts
+    used = np.ones(int(room.sum()), bool)
+    for back in (1, 2, 3):
+        used[ends[spare >= back] - back] = False
+    return used
 
 
 def code(ranks: np.ndarray, counts: np.ndarray | None = None) -> tuple[bytes, bytes]:
@@ -37,10 +47,9 @@ def code(ranks: np.ndarray, counts: np.ndarray | None = None) -> tuple[bytes, by
     counts = np.array([len(ranks)]) if counts is None else counts
     ranks = ranks.astype("<u4")
     extra = (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    room = -(-counts // 4) * 4
-    shifts = np.cumsum(room) - room - (np.cumsum(counts) - counts)
-    padded = np.zeros(int(room.sum()), np.uint8)
-    padded[np.arange(len(ranks)) + np.repeat(shifts, counts)] = extra
+    used = _used(counts)
+    padded = np.zeros(len(used), np.uint8)
+    padded[used] = extra
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
     width = int(extra.max(initial=0)) + 1
     grid = ranks.view(np.uint8).reshape(-1, 4)[:, :width]
@@ -49,21 +58,19 @@ def code(ranks: np.ndarray, counts: np.ndarray | None = None) -> tuple[bytes, by
 
 def decode(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
     """Ranks of a block's documents, end to end: lengths come from a table, bytes from their places."""
-    slots = LENGTHS[np.frombuffer(control, np.uint8)].ravel()
-    room = -(-counts // 4) * 4
-    if int(room.sum()) != len(slots):
+    slots, used = LENGTHS[np.frombuffer(control, np.uint8)].ravel(), _used(counts)
+    if len(used) != len(slots):
         raise ValueError("control bytes do not fit the counts")
-    begins = np.cumsum(room) - room
-    own = np.arange(int(counts.sum())) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
-    lengths = slots[own]
-    ends = np.cumsum(lengths)
-    if (int(ends[-1]) if len(ends) else 0) != len(data):
+    lengths = slots[used]
+    begins = np.cumsum(lengths, dtype=np.int64)
+    if (int(begins[-1]) if len(begins) else 0) != len(data):
         raise ValueError("data bytes do not fit the lengths")
-    raw = np.frombuffer(data + b"\0\0\0\0", np.uint8)
-    found = np.zeros(len(lengths), np.uint32)
-    for byte in range(int(lengths.max(initial=0))):
-        has = lengths > byte
-        found[has] |= raw[(ends - lengths)[has] + byte].astype(np.uint32) << np.uint32(8 * byte)
+    begins -= lengths
+    raw = np.frombuffer(data, np.uint8)
+    found = raw[begins].astype(np.uint32)
+    for byte in range(1, int(lengths.max(initial=0))):
+        longer = np.flatnonzero(lengths > byte)
+        found[longer] |= raw[begins[longer] + byte].astype(np.uint32) << np.uint32(8 * byte)
     return found
 
 

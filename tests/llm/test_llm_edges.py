@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -121,6 +122,21 @@ def test_coding_round_trip():
         token_output.decode(coded[2][0], coded[2][1][:-1], counts[2:3])
 
 
+def test_coding_holds_few_bytes_for_an_id():
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 900, 1000)
+    ranks = np.minimum(rng.zipf(1.2, counts.sum()), 50_000).astype(np.uint32)
+    tracemalloc.start()
+    coded = token_output.code(ranks, counts)
+    most = [tracemalloc.get_traced_memory()[1]]
+    tracemalloc.reset_peak()
+    back = token_output.decode(*coded, counts)
+    most.append(tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    assert back.tolist() == ranks.tolist()
+    assert most[0] < 16 * len(ranks) and most[1] < 32 * len(ranks)
+
+
 def test_packing(docs, empty):
     rows = packing.pack(docs, PATH).collect()
     pieces = collections.defaultdict(bytes)
