@@ -73,6 +73,39 @@ def test_encoder_forgets_and_goes_on():
         assert tool.encode(pa.array([text, None]))[0].tolist() == encoded(text)
 
 
+@pytest.mark.parametrize("plain", [False, True])
+def test_encoder_cuts_where_ids_stay_the_same(plain):
+    rng = random.Random(7)
+    blanks = " \n\t\r\x0b\x1c\x85\xa0\u1680\u180e\u2003\u2028\u202f\u205f\u3000"
+    pieces = [*blanks, " ", " ", "\n", "\n", *".,'!<|>_-\"", "a", "Zo", "7", "'s", "'LL", "é", "×", "÷", "ÿ", "ſ", "ƿ", "ж", "\u0301", "²", "“", "。", "中", "🎉", "\x00", "\x7f", "<|endoftext|>"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 9))) for _ in range(4000)]
+    tool, library = tokens.Encoder(tokens.read_spec(PATH), 2000, plain), Tokenizer.from_file(PATH)
+    library.encode_special_tokens = plain
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for at in range(0, len(texts), 500):
+        flat, counts = tool.encode(pa.array(texts[at : at + 500]))
+        assert counts.tolist() == [len(x) for x in want[at : at + 500]]
+        assert flat.tolist() == [i for x in want[at : at + 500] for i in x]
+
+
+def test_words_are_known_whatever_stands_beside_them():
+    names = sorted({*words(3, 400).split()} - {""})[:40]
+    names = [w for w in names if w.isascii() and w.isalpha()] + ["Haus", "été", "Wort"]
+    tool = tokens.Encoder(tokens.read_spec(PATH))
+    text = " ".join(f"{a}{mark}\n{b}" for a in names for b in names for mark in (".", ",", "***"))
+    assert tool.encode(pa.array([text]))[0].tolist() == encoded(text)
+    assert tool.entries < 4 * len(names) + 10
+
+
+def test_words_met_again_outlive_a_small_slice():
+    tool = tokens.Encoder(tokens.read_spec(PATH), kept_words=300)
+    usual, rare = [f"usual{i}x" for i in range(50)], [f"rare{i}x" for i in range(400)]
+    for text in (usual, usual, rare, ["one"]):
+        text = " ".join(text)
+        assert tool.encode(pa.array([text]))[0].tolist() == encoded(text)
+    assert {f" {w}" for w in usual[1:]} <= tool.known.keys() and len(tool.known) < 100
+
+
 def test_other_tokenizers_go_to_the_library_whole():
     path = public_tokenizers.path("word_bpe_49k.json")
     tool, library = tokens.Encoder(tokens.read_spec(path)), Tokenizer.from_file(path)
