@@ -45,15 +45,21 @@ def _used(counts: np.ndarray) -> np.ndarray:
 def code(ranks: np.ndarray, counts: np.ndarray | None = None) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of documents with so many ranks each; of one document if none are named."""
     counts = np.array([len(ranks)]) if counts is None else counts
-    ranks = ranks.astype("<u4")
-    extra = (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
+    most = int(ranks.max(initial=0))
+    ranks = ranks.astype("<u2" if most < 1 << 16 else "<u4")
+    extra = (ranks >= 1 << 8).astype(np.uint8)
+    for bits in (16, 24):
+        if most >= 1 << bits:
+            extra += ranks >= 1 << bits
     used = _used(counts)
     padded = np.zeros(len(used), np.uint8)
     padded[used] = extra
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    width = int(extra.max(initial=0)) + 1
-    grid = ranks.view(np.uint8).reshape(-1, 4)[:, :width]
-    return control.tobytes(), grid[np.arange(width) <= extra[:, None]].tobytes()
+    four = padded.view("<u4")
+    control = (four | four >> 6 | four >> 12 | four >> 18).astype(np.uint8)  # bits of a byte each, side by side
+    keep = np.ones((len(ranks), ranks.itemsize), bool)
+    for byte in range(1, ranks.itemsize):
+        keep[:, byte] = extra >= byte
+    return control.tobytes(), ranks.view(np.uint8)[keep.ravel()].tobytes()
 
 
 def decode(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
