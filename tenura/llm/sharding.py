@@ -7,15 +7,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenura.llm.common import materialise, partitions
+from tenura.llm.common import materialise, partitions, short_reads
 
 PLANNED = 16
 RACK, REGION = 2, 4
+#: Ranges of ids that one task writes, as long as every core has a task.
+RANGES = 16
 
 
 class Leaf(NamedTuple):
@@ -79,9 +81,8 @@ def place(key: Column, leaves: list[Leaf]) -> Column:
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the number of the partition and their place among its rows of the same shard."""
+    """Rows with their place among the rows of the same range and shard."""
     seen: dict[int, int] = {}
-    part = TaskContext.get().partitionId()
     for batch in batches:
         shards = batch.column("shard").to_numpy(zero_copy_only=False)
         places = np.empty(len(shards), np.int64)
@@ -90,10 +91,14 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = seen.get(int(shard), 0)
             places[at] = before + np.arange(len(at))
             seen[int(shard)] = before + len(at)
-        kept = batch.drop_columns(["copy"])
-        yield kept.append_column("part", pa.array(np.full(len(shards), part), pa.int32())).append_column(
-            "place", pa.array(places)
-        )
+        yield batch.drop_columns(["copy"]).append_column("place", pa.array(places))
+
+
+def _writers(spark: SparkSession) -> int:
+    """Tasks that write the numbered rows. A range is small, and each file costs the executor several
+    processes where the shared folder is a local path: Hadoop sets permissions by chmod there."""
+    ranges = partitions(spark)
+    return min(ranges, max(spark.sparkContext.defaultParallelism, ranges // RANGES))
 
 
 def shard_documents(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf] | None = None) -> DataFrame:
@@ -103,7 +108,7 @@ def shard_documents(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf] | Non
     a null doc_id is a key of its own and takes the first slots. Repeated rows each get a slot. An empty
     table gives no rows; other columns are ignored. Texts never move: the shuffle carries ids and sizes.
     Rows are dealt out by ranges of doc_id, checksum and a row number, so no doc_id or text is too
-    frequent for one task.
+    frequent for one task. A task numbers and writes several ranges, one after the other.
     """
     spark = docs.sparkSession
     small = docs.select(
@@ -113,15 +118,22 @@ def shard_documents(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf] | Non
         F.monotonically_increasing_id().alias("copy"),
     )
     order = ["doc_id", "text_crc32", "size", "copy"]
-    ranged = small.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    placed = ranged.withColumn("shard", place(F.col("doc_id"), leaves))
-    placed = placed.withColumn("grown_shard", place(F.col("doc_id"), grown) if grown else F.lit(None).cast("int"))
-    kind = placed.drop("copy").schema.add("part", T.IntegerType()).add("place", T.LongType())
-    numbered = materialise(placed.mapInArrow(_number, kind), "shards")
+    with short_reads(spark):
+        # ranges are found in one pass and dealt out in another: the second one takes ids and sizes from local disk
+        small = small.persist(StorageLevel.DISK_ONLY)
+        try:
+            ranged = small.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+            placed = ranged.withColumn("shard", place(F.col("doc_id"), leaves))
+            placed = placed.withColumn("grown_shard", place(F.col("doc_id"), grown) if grown else F.lit(None).cast("int"))
+            placed = placed.withColumn("part", F.spark_partition_id())
+            kind = placed.drop("copy").schema.add("place", T.LongType())
+            numbered = materialise(placed.mapInArrow(_number, kind).coalesce(_writers(spark)), "shards")
+        finally:
+            small.unpersist()
     counts = numbered.groupBy("shard", "part").agg(F.max("place").alias("last"))
     before = F.sum(F.col("last") + 1).over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("shard", "part", F.coalesce(before, F.lit(0)).alias("begin"))
-    # one row per shard and partition of the job: bounded by the job's own partition count
+    # one row per shard and range: bounded by the job's own partition count
     return numbered.join(F.broadcast(starts), ["shard", "part"]).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.col("begin") + F.col("place")).alias("slot"), "grown_shard",

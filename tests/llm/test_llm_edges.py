@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import pathlib
 import random
 import re
 import tracemalloc
@@ -14,10 +15,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tenura.llm import bytewords, components, decontaminate, dedup, language, packing, pii, quality, sharding, token_counts, token_output, tokens, topk
+from tenura.llm import bytewords, common, components, decontaminate, dedup, language, packing, pii, quality, sharding, token_counts, token_output, tokens, topk
 from tenura.llm.arrow import raw
 from tenura.llm.queries import BYTE_BPE
-from tenura.session import fresh_path
+from tenura.session import fresh_path, shared_dir
 
 PATH = public_tokenizers.path(BYTE_BPE)
 TOKENIZER = Tokenizer.from_file(PATH)
@@ -200,6 +201,53 @@ def test_one_doc_id_for_all_rows(spark):
     assert len({r.shard for r in rows}) == 1 and sorted(r.slot for r in rows) == list(range(3000))
 
 
+def test_shards_are_written_in_few_files_whatever_the_number_of_ranges(spark):
+    docs = spark.range(4000).select((F.col("id") * 7 % 3900).alias("doc_id"), F.repeat(F.lit("ä"), (F.col("id") % 9).cast("int")).alias("text"))
+    few = sorted(map(tuple, sharding.shard_documents(docs, sharding.tree(16), sharding.tree(17)).collect()))
+    folder, before = pathlib.Path(shared_dir(spark).removeprefix("file:")), spark.conf.get("spark.sql.shuffle.partitions")
+    old = set(folder.glob("shards-*"))
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        rows = sharding.shard_documents(docs, sharding.tree(16), sharding.tree(17)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    (new,) = set(folder.glob("shards-*")) - old
+    assert spark.read.parquet(str(new)).select("part").distinct().count() > 100
+    assert len(list(new.glob("part-*"))) <= max(spark.sparkContext.defaultParallelism, 200 // sharding.RANGES)
+    for shard in range(16):
+        held = sorted((r.slot, r.doc_id) for r in rows if r.shard == shard)
+        assert [s for s, _ in held] == list(range(len(held))) and [d for _, d in held] == sorted(d for _, d in held)
+    assert sorted(map(tuple, rows)) == few
+
+
+def test_sharding_reads_few_texts_at_once(spark, docs, monkeypatch):
+    seen, write = [], sharding.materialise
+    monkeypatch.setattr(sharding, "materialise", lambda *a: seen.append(spark.conf.get(common.READ_SETTING)) or write(*a))
+    sharding.shard_documents(docs, sharding.tree(16))
+    assert common.READ_SETTING not in spark.conf.getAll
+    spark.conf.set(common.READ_SETTING, "1000")
+    try:
+        sharding.shard_documents(docs, sharding.tree(16))
+        assert spark.conf.get(common.READ_SETTING) == "1000"
+    finally:
+        spark.conf.unset(common.READ_SETTING)
+    assert seen == [str(common.READ_ROWS), "1000"]
+
+
+def test_sharding_reads_each_text_once_and_keeps_nothing(spark):
+    read, kept = spark.sparkContext.accumulator(0), spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    rows = sharding.shard_documents(docs.mapInArrow(counted, docs.schema), sharding.tree(16)).collect()
+    assert len({r.doc_id for r in rows}) == len(rows) == read.value == 5000
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == kept
+
+
 def test_weights_move_only_into_the_changed_subtree(spark):
     old = sharding.tree(16)
     new = [x._replace(weight=3.0) if x.shard == 5 else x for x in old]
