@@ -6,12 +6,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.operators.features import make_encoder
-from tenura.operators.models import NOT_APPLIED, ENHANCED, Classifier, boosted, class_counts, gathered, with_weights
+from tenura.operators.models import NOT_APPLIED, ENHANCED, Classifier, boosted, class_counts, fit_estimator, with_weights
 from tenura.operators.prep import keep_present, map_target, split_feature_types
 from tenura.operators.quality import CATEGORICAL_FEATURES
 from tenura.operators.score import METADATA, PIPELINE, REPORT
@@ -117,9 +117,10 @@ def fit(job: Job) -> Fitted:
     """Fit encoder and classifier to every row; no cross-validation."""
     counts = class_counts(job.rows)
     n = sum(counts.values())
-    weighted = gathered(with_weights(job.rows, counts, job.classifier.balanced), n)
-    pipeline = Pipeline(stages=[make_encoder(job.cats, job.nums), job.classifier.build(n)]).fit(weighted)
-    names = pipeline.stages[0].feature_names()
+    weighted = with_weights(job.rows, counts, job.classifier.balanced)
+    encoder = make_encoder(job.cats, job.nums).fit(weighted)
+    pipeline = PipelineModel([encoder, fit_estimator(job.classifier.build(n), encoder.transform(weighted), n)])
+    names = encoder.feature_names()
     settings = job.settings
     used = {k: v for k, v in {**settings, "n_estimators": job.trees or settings["n_estimators"]}.items() if k not in NOT_APPLIED}
     card = {
