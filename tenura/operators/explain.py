@@ -22,11 +22,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.session import fresh_path
+from tenura.session import fresh_path, spread
 
 TOP = 5
 _PATHS_AT_ONCE = 400
 _ROWS_AT_ONCE = 512
+#: Most cases of a path that are worked out beforehand.
+_CASES = 256
 # The model's probability is the logistic function of twice the summed tree outputs.
 _LOG_ODDS = 2.0
 
@@ -134,34 +136,65 @@ def path_blocks(tables: list[PathTable], n_features: int) -> list[PathBlock]:
     return out
 
 
-def contributions(rows: np.ndarray, blocks: list[PathBlock]) -> np.ndarray:
-    """Contribution of every feature for every row.
+def _parts(block: PathBlock, holds: list[np.ndarray]) -> list[np.ndarray]:
+    """What each condition of a path adds for rows whose conditions hold or not; one array for each condition.
 
     All factors are positive, because each child of a split holds training rows, so the factor of a feature can
     be divided out of the whole product without loss.
     """
+    paths, m = block.paths, block.paths.feature.shape[1]
+    sums = [np.zeros(holds[0].shape) for _ in range(m)]
+    for q, (point, weight) in enumerate(zip(block.points, block.weights)):
+        factors = [np.where(h, a[:, q] + point, a[:, q]) for h, a in zip(holds, block.absent)]
+        whole = weight * paths.value * np.multiply.reduce(factors)
+        for f in range(m):
+            sums[f] += whole / factors[f]
+    return [sums[f] * (holds[f] - paths.share[:, f]) for f in range(m)]
+
+
+def _by_pattern(columns: np.ndarray, block: PathBlock, phi: np.ndarray) -> None:
+    """Add a block's contributions for many rows, both with a row for each feature.
+
+    What a path adds depends only on which of its m conditions hold, so the 2^m cases are worked out once and a
+    row looks its case up.
+    """
+    paths, m = block.paths, block.paths.feature.shape[1]
+    cases = np.arange(2**m)
+    holds = [np.repeat((cases >> f & 1).astype(bool)[:, None], len(paths.value), axis=1) for f in range(m)]
+    tables = [np.ascontiguousarray(part.T) for part in _parts(block, holds)]
+    for p in range(len(paths.value)):
+        case = np.zeros(columns.shape[1], dtype=np.intp)
+        for f in range(m):
+            x, low, high = columns[paths.feature[p, f]], paths.low[p, f], paths.high[p, f]
+            held = x <= high if low == -np.inf else x > low if high == np.inf else (x > low) & (x <= high)
+            case |= held.astype(np.intp) << f
+        for f in range(m):
+            phi[paths.feature[p, f]] += tables[f][p].take(case)
+
+
+def contributions(rows: np.ndarray, blocks: list[PathBlock]) -> np.ndarray:
+    """Contribution of every feature for every row."""
     phi = np.zeros(rows.shape)
+    columns = np.ascontiguousarray(rows.T)
+    by_feature = np.zeros(columns.shape)
     for block in blocks:
         paths, m = block.paths, block.paths.feature.shape[1]
+        if 2**m <= min(len(rows), _CASES):
+            _by_pattern(columns, block, by_feature)
+            continue
         for start in range(0, len(rows), _ROWS_AT_ONCE):
             part = rows[start : start + _ROWS_AT_ONCE]
             holds = []
             for f in range(m):
                 x = part[:, paths.feature[:, f]]
                 holds.append((x > paths.low[:, f]) & (x <= paths.high[:, f]))
-            sums = [np.zeros(holds[0].shape) for _ in range(m)]
-            for q, (point, weight) in enumerate(zip(block.points, block.weights)):
-                factors = [np.where(h, a[:, q] + point, a[:, q]) for h, a in zip(holds, block.absent)]
-                whole = weight * paths.value * np.multiply.reduce(factors)
-                for f in range(m):
-                    sums[f] += whole / factors[f]
-            for f in range(m):
-                phi[start : start + len(part)] += (sums[f] * (holds[f] - paths.share[:, f])) @ block.spread[f]
-    return phi
+            for f, added in enumerate(_parts(block, holds)):
+                phi[start : start + len(part)] += added @ block.spread[f]
+    return phi + by_feature.T
 
 
 def _over_rows(df: DataFrame, model: GBTClassificationModel, keys: Sequence[str], features: str, shape, schema: str):
-    """Run ``shape(contributions, base)`` over batches of rows; the rows stay where they are.
+    """Run ``shape(contributions, base)`` over batches of rows, which are dealt to all cores if they lie in few partitions.
 
     The paths, no larger than the model, go to the tasks.
     """
@@ -180,7 +213,7 @@ def _over_rows(df: DataFrame, model: GBTClassificationModel, keys: Sequence[str]
                 phi = _LOG_ODDS * contributions(x, blocks)
                 yield batch[keys].assign(**shape(phi, _LOG_ODDS * base))
 
-    rows = df.select(*keys, vector_to_array(features).alias("_x"))
+    rows = spread(df.select(*keys, vector_to_array(features).alias("_x")))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keys)
     return rows.mapInPandas(explain, f"{fields}, {schema}")
 
