@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tenura.operators.gate import GATE_CUT, TOP_NEG, TOP_POS, gate_rank_predict, gate_rank_scores
 from tenura.operators.models import FEATURES, FOREST_TREES, LABEL, Classifier, fit_classifier, forest, logistic, score
-from tenura.session import materialise
+from tenura.session import materialise, spread
 
 GATE, POS, NEG = "gate", "pos_score", "neg_score"
 PARTS = (GATE, POS, NEG)
@@ -54,8 +54,9 @@ class GateRank(Estimator, _GateRankParams):
     def _fit(self, dataset: DataFrame) -> "GateRankModel":
         get = self.getOrDefault
         rows = dataset.select(F.col(get("labelCol")).alias(LABEL), F.col(get("featuresCol")).alias(FEATURES))
-        model = GateRankModel({name: fit_classifier(part, rows) for name, part in self.parts.items()})
-        return self._copyValues(model)
+        # all parts see the same rows, so one that stands for two sides is fitted once
+        fitted = {id(part): fit_classifier(part, rows) for part in {id(p): p for p in self.parts.values()}.values()}
+        return self._copyValues(GateRankModel({name: fitted[id(part)] for name, part in self.parts.items()}))
 
 
 class GateRankModel(Model, _GateRankParams, MLWritable, MLReadable):
@@ -85,7 +86,7 @@ class GateRankModel(Model, _GateRankParams, MLWritable, MLReadable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         get = self.getOrDefault
         kept = [c for c in dataset.columns if c not in ADDED]
-        scored = materialise(self.scores(dataset, kept), "gate-rank")
+        scored = materialise(self.scores(spread(dataset), kept), "gate-rank")
         ranked = gate_rank_predict(scored, get("keyCol"), cut=get("cut"), top_pos=get("topPos"), top_neg=get("topNeg"))
         fused = gate_rank_scores(ranked.drop("side"), cut=get("cut"))
         return fused.select(
